@@ -1,2 +1,20 @@
-from bazaar.checks import analytics, text, dates
+"""Query and oracle pairs: every operator on the driver's tables, next to its SQL."""
+
+from bazaar.checks import (  # noqa: F401
+    aggregates,
+    analytics,
+    conformance,
+    dates,
+    filters,
+    html,
+    joins,
+    nested,
+    sinks,
+    sources,
+    streams,
+    text,
+    windows,
+)
 from bazaar.checks.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -17,7 +17,8 @@ HEADER_STYLES: dict[str, list[tuple[str, str]]] = {
     "stream": [(" ", "_"), ("-", "_"), ("[()]", ""), ("[+]_", ""), ("rp", "_rp")],
     "percent_word": [(" ", "_"), ("%", "persentase_"), ("-", "_")],
     "seo": [(" [(]seo[)]", ""), (" -", ""), (" ", "_")],
-    "collapse": [(" ", "_"), ("[^_a-z0-9]", ""), ("__", "_")],
+    "collapse": [(" [(]rp[)]", ""), (" ", "_"), ("[^_a-z0-9]", ""), ("__", "_")],
+    "metric": [(" [(]rp[)]", ""), ("[^a-z0-9]+", "_"), ("^_|_$", "")],
     "words": [("[^a-z0-9]+", "_"), ("^_|_$", "")],
 }
 
@@ -50,11 +51,12 @@ def normalize_headers(df: DataFrame, style: str = "plain") -> DataFrame:
     return df.toDF(*names)
 
 
-def rename_synonyms(df: DataFrame, *vocabularies: dict[str, str]) -> DataFrame:
+def rename_synonyms(df: DataFrame, *vocabularies: dict[str, str], style: str | None = None) -> DataFrame:
     """Headers of any language to one vocabulary.
 
     Several present headers for one target give the first non-null value, in
-    vocabulary order. Headers in no vocabulary stay as they are.
+    vocabulary order. Headers in no vocabulary are normalised by ``style``, or
+    stay as they are.
     """
     target_of: dict[str, str] = {}
     for vocabulary in vocabularies:
@@ -64,7 +66,8 @@ def rename_synonyms(df: DataFrame, *vocabularies: dict[str, str]) -> DataFrame:
     plain = {name: name.strip() for name in df.columns}
     groups: dict[str, list[str]] = {}
     for name in df.columns:
-        groups.setdefault(target_of.get(plain[name], plain[name]), []).append(name)
+        other = normalize_header(plain[name], style) if style else plain[name]
+        groups.setdefault(target_of.get(plain[name], other), []).append(name)
     out = []
     for target, names in groups.items():
         names.sort(key=lambda n: rank.get(plain[n], len(rank)))

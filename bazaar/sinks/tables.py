@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.operators.dedupe import dedupe, distinct_rows
+from bazaar.operators.dedupe import dedupe
 from bazaar.operators.upsert import upsert
 
 GRAINS = {"DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
@@ -40,9 +40,14 @@ def append_partitioned(
     out.write.mode("append").partitionBy(name).parquet(path)
 
 
-def create_deduped(df: DataFrame, path: str, keys: list[str], order: list[str], field: str) -> None:
-    """First load: oldest row per key, distinct, day partitioned."""
-    append_partitioned(distinct_rows(dedupe(df, keys, order, keep="oldest")), path, field)
+def create_deduped(
+    df: DataFrame, path: str, keys: list[str], order: list[str], field: str, grain: str = "DAY"
+) -> None:
+    """First load: the oldest row per key, partitioned by a date field.
+
+    One row per key is distinct already, so no second pass is made for that.
+    """
+    append_partitioned(dedupe(df, keys, order, keep="oldest"), path, field, grain)
 
 
 def insert_select(source: DataFrame, target: T.StructType, mapping: dict[str, str] | None = None) -> DataFrame:

@@ -75,30 +75,42 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator
         yield position - 1, cells
 
 
-def read_workbook_grid(spark: SparkSession, paths: list[str] | str, sheet: str | int | None = None) -> DataFrame:
-    """(path, sheet, row_no, cells) of all workbooks; one sheet by name or index, or all."""
+def workbook_grid(files: DataFrame, sheet: str | int | None = None) -> DataFrame:
+    """(path, sheet, row_no, cells) of workbooks held as (path, content) rows.
+
+    One sheet by name or index, or all sheets.
+    """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                book = zipfile.ZipFile(io.BytesIO(content))
-                shared = _shared_texts(book)
-                for index, (name, part) in enumerate(_sheets(book)):
-                    if sheet is not None and sheet not in (name, index):
-                        continue
-                    rows = []
-                    for row_no, cells in _sheet_rows(book, part, shared):
-                        rows.append((path, name, row_no, cells))
-                        if len(rows) == BATCH_ROWS:
-                            yield pd.DataFrame(rows, columns=["path", "sheet", "row_no", "cells"])
-                            rows = []
-                    if rows:
-                        yield pd.DataFrame(rows, columns=["path", "sheet", "row_no", "cells"])
+                yield from _grid_batches(path, content, sheet)
+
+    return files.select("path", "content").mapInPandas(parse, GRID_SCHEMA)
+
 
+def _grid_batches(path: str, content: bytes, sheet: str | int | None) -> Iterator[pd.DataFrame]:
+    names = ["path", "sheet", "row_no", "cells"]
+    book = zipfile.ZipFile(io.BytesIO(content))
+    shared = _shared_texts(book)
+    for index, (name, part) in enumerate(_sheets(book)):
+        if sheet is not None and sheet not in (name, index):
+            continue
+        rows = []
+        for row_no, cells in _sheet_rows(book, part, shared):
+            rows.append((path, name, row_no, cells))
+            if len(rows) == BATCH_ROWS:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+
+
+def read_workbook_grid(spark: SparkSession, paths: list[str] | str, sheet: str | int | None = None) -> DataFrame:
+    """Grid of all workbook files below the paths."""
     files = (
         spark.read.format("binaryFile")
         .options(pathGlobFilter="*.xlsx", recursiveFileLookup="true")
         .load(paths)
-        .select("path", "content")
     )
-    return files.mapInPandas(parse, GRID_SCHEMA)
+    return workbook_grid(files, sheet)
