@@ -227,7 +227,11 @@ def rename_positional(spark, d):
 
 STYLE_SQL = {
     "plain": "regexp_replace(replace(h, ' ', '_'), '[^_a-z0-9]', '', 'g')",
-    "slash_or": "regexp_replace(replace(replace(h, '/', '_atau_'), ' ', '_'), '[^_a-z0-9]', '', 'g')",
+    "slash_or": "replace(replace(replace(replace(h, ' ', '_'), '/', '_atau_'), '(', ''), ')', '')",
+    "brackets": "replace(replace(replace(h, ' ', '_'), '(', ''), ')', '')",
+    "marks": "regexp_replace(replace(h, ' ', '_'), '[().,]', '', 'g')",
+    "slash_marks": "regexp_replace(replace(h, ' ', '_'), '[()./]', '', 'g')",
+    "slash_marks_dash": "replace(regexp_replace(replace(h, ' ', '_'), '[()./]', '', 'g'), '-', '_')",
     "stream": "replace(replace(replace(replace(replace(replace(h, ' ', '_'), '-', '_'), '(', ''), ')', ''), '+_', ''), 'rp', '_rp')",
     "percent_word": "replace(replace(replace(h, ' ', '_'), '%', 'persentase_'), '-', '_')",
     "seo": "replace(replace(replace(h, ' (seo)', ''), ' -', ''), ' ', '_')",
@@ -241,7 +245,7 @@ STYLE_SQL = {
     "normalize_headers",
     "SELECT p_partkey, "
     + ", ".join(f"{sql} AS {style}" for style, sql in STYLE_SQL.items())
-    + r""", lower(regexp_replace(camel, '([a-z0-9])([A-Z])', '\1_\2', 'g')) AS camel
+    + r""", lower(regexp_replace(camel, '([a-z])([A-Z])', '\1_\2', 'g')) AS camel
 FROM (SELECT p_partkey, lower(p_name || ' (SEO) - ' || p_type || '/% Nilai+ (Rp) ' || p_brand) AS h,
   replace(p_type, 'O', 'o') || p_brand || 'Id' AS camel FROM part)""",
 )

@@ -33,12 +33,17 @@ def nullify(text: Column, words: tuple[str, ...] = MISSING_WORDS) -> Column:
     return F.when(~text.isin(*words), text)
 
 
-def parse_money(text: Column, decimal_comma: bool = True) -> Column:
-    """``Rp12.345`` / ``IDR 12.345,5`` to double: dots group thousands."""
-    bare = F.regexp_replace(text, f"(?i){'|'.join(CURRENCY_WORDS)}|[. ]", "")
-    if decimal_comma:
-        bare = F.replace(bare, F.lit(","), F.lit("."))
-    return to_number(bare)
+def parse_money(text: Column) -> Column:
+    """``Rp12.345`` / ``IDR 12.345,5`` to double.
+
+    Dots in front of three digits group thousands and a comma starts the
+    fraction. A dot that groups nothing is a decimal point, so amounts that were
+    numbers already (``1000.0``) keep their value.
+    """
+    bare = F.regexp_replace(text, f"(?i){'|'.join(CURRENCY_WORDS)}| ", "")
+    grouped = bare.rlike(r"^[+-]?[0-9]{1,3}([.][0-9]{3})+(,[0-9]+)?$")
+    plain = F.when(grouped, F.replace(bare, F.lit("."), F.lit(""))).otherwise(bare)
+    return to_number(F.replace(plain, F.lit(","), F.lit(".")))
 
 
 def digits_only(text: Column) -> Column:

@@ -13,7 +13,11 @@ from bazaar.operators.contracts import ContractError
 # applied in order. Patterns stay in the subset shared by Java, Python and RE2.
 HEADER_STYLES: dict[str, list[tuple[str, str]]] = {
     "plain": [(" ", "_"), ("[^_a-z0-9]", "")],
-    "slash_or": [("/", "_atau_"), (" ", "_"), ("[^_a-z0-9]", "")],
+    "slash_or": [(" ", "_"), ("/", "_atau_"), ("[()]", "")],
+    "brackets": [(" ", "_"), ("[()]", "")],
+    "marks": [(" ", "_"), ("[().,]", "")],
+    "slash_marks": [(" ", "_"), ("[()./]", "")],
+    "slash_marks_dash": [(" ", "_"), ("[()./]", ""), ("-", "_")],
     "stream": [(" ", "_"), ("-", "_"), ("[()]", ""), ("[+]_", ""), ("rp", "_rp")],
     "percent_word": [(" ", "_"), ("%", "persentase_"), ("-", "_")],
     "seo": [(" [(]seo[)]", ""), (" -", ""), (" ", "_")],
@@ -26,7 +30,7 @@ HEADER_STYLES: dict[str, list[tuple[str, str]]] = {
 def normalize_header(name: str, style: str = "plain") -> str:
     """One header text to a column name."""
     if style == "camel":
-        return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.strip()).lower()
+        return re.sub(r"([a-z])([A-Z])", r"\1_\2", name.strip()).lower()
     name = name.strip().lower()
     for pattern, text in HEADER_STYLES[style]:
         name = re.sub(pattern, text, name)
@@ -36,7 +40,7 @@ def normalize_header(name: str, style: str = "plain") -> str:
 def header_expression(header: Column, style: str = "plain") -> Column:
     """The same rule on a column of header texts."""
     if style == "camel":
-        return F.lower(F.regexp_replace(F.trim(header), "([a-z0-9])([A-Z])", "$1_$2"))
+        return F.lower(F.regexp_replace(F.trim(header), "([a-z])([A-Z])", "$1_$2"))
     out = F.lower(F.trim(header))
     for pattern, text in HEADER_STYLES[style]:
         out = F.regexp_replace(out, pattern, text)

@@ -26,8 +26,8 @@ def _key(df: DataFrame, other: DataFrame, name: str) -> Column:
     return F.col(name) if same else F.col(name).cast("string")
 
 
-def _with_keys(df: DataFrame, other: DataFrame, keys: list[str], mark: str) -> DataFrame:
-    return df.withColumns({f"{mark}{i}": _key(df, other, k) for i, k in enumerate(keys)})
+def _keys(df: DataFrame, other: DataFrame, keys: list[str], mark: str) -> list[Column]:
+    return [_key(df, other, k).alias(f"{mark}{i}") for i, k in enumerate(keys)]
 
 
 def _match(count: int, left: str, right: str, null_safe: bool) -> Column:
@@ -48,6 +48,22 @@ def check_unique(source: DataFrame, keys: list[str], null_safe: bool = True) ->
         raise DuplicateKeyError(f"source repeats a key of {keys}; give a dedupe order")
 
 
+def one_per_key(
+    source: DataFrame, keys: list[str], order: list[str] | None, null_safe: bool = True, keep: str = "latest"
+) -> DataFrame:
+    """The source with one row per key: chosen by ``order``, or checked to be so.
+
+    Without ``null_safe`` rows with a NULL key part match nothing and all stay.
+    """
+    if not order:
+        check_unique(source, keys, null_safe)
+        return source
+    if null_safe:
+        return dedupe(source, keys, order, keep)
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return dedupe(source.dropna(subset=keys), keys, order, keep).unionByName(source.filter(has_null))
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -56,48 +72,42 @@ def upsert(
     update_columns: list[str] | None = None,
     dedupe_order: list[str] | None = None,
     keep: str = "latest",
+    checked: bool = False,
 ) -> DataFrame:
     """Target after the merge: matched rows updated, other source rows added.
 
     ``null_safe`` lets NULL keys match each other; without it a NULL key never
     matches and is added on every run. ``update_columns`` limits what a match
     overwrites (default: all). The source is deduped by ``dedupe_order``, or
-    checked to have unique keys.
+    checked to have unique keys, unless the caller has ``checked`` that already.
     """
-    if dedupe_order:
-        if null_safe:
-            source = dedupe(source, keys, dedupe_order, keep)
-        else:
-            has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            source = dedupe(source.dropna(subset=keys), keys, dedupe_order, keep).unionByName(
-                source.filter(has_null)
-            )
-    else:
-        check_unique(source, keys, null_safe)
+    rows = source if checked else one_per_key(source, keys, dedupe_order, null_safe, keep)
     columns = target.columns
     changed = set(update_columns if update_columns is not None else columns)
-
     n = len(keys)
-    incoming = _with_keys(source.select(*columns), target, keys, "_s")
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-    packed = incoming.select(*[f"_s{i}" for i in range(n)], F.struct(*typed).alias("_new"))
-    current = _with_keys(target, source, keys, "_t")
+    typed = {f.name: F.col(f.name).cast(f.dataType) for f in target.schema.fields}
 
-    updated = current.join(packed, _match(n, "_t", "_s", null_safe), "left").select(
+    incoming = rows.select(
+        *_keys(source, target, keys, "_s"), *[v.alias(f"_new_{c}") for c, v in typed.items()], F.lit(True).alias("_hit")
+    )
+    current = target.select(*_keys(target, source, keys, "_t"), *columns)
+    # Under strict keys the dedupe left the rows placed by these very keys. A shuffle
+    # of its own keeps the join one that AQE may split at a hot target key.
+    placed = incoming if null_safe else incoming.repartition(*[f"_s{i}" for i in range(n)])
+
+    updated = current.join(placed, _match(n, "_t", "_s", null_safe), "left").select(
         *[
-            (
-                F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(F.col(c))
-                if c in changed
-                else F.col(c)
-            ).alias(c)
+            (F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) if c in changed else F.col(c)).alias(c)
             for c in columns
         ]
     )
     # Keys the target already has, cut down to those the source asks about.
     known = (
-        current.select(*[f"_t{i}" for i in range(n)])
-        .join(incoming.select(*[f"_s{i}" for i in range(n)]), _match(n, "_t", "_s", null_safe), "left_semi")
+        target.select(*_keys(target, source, keys, "_t"))
+        .join(source.select(*_keys(source, target, keys, "_s")), _match(n, "_t", "_s", null_safe), "left_semi")
         .distinct()
     )
-    added = incoming.join(known, _match(n, "_s", "_t", null_safe), "left_anti").select(*typed)
+    added = incoming.join(known, _match(n, "_s", "_t", null_safe), "left_anti").select(
+        *[F.col(f"_new_{c}").alias(c) for c in columns]
+    )
     return updated.unionByName(added)

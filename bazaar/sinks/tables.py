@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar.operators.dedupe import dedupe
-from bazaar.operators.upsert import upsert
+from bazaar.operators.upsert import one_per_key, upsert
 
 GRAINS = {"DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
 
@@ -141,59 +141,80 @@ def merge_into(
     keys: list[str],
     staging: str,
     partition: str | None = None,
-    **options,
+    null_safe: bool = True,
+    update_columns: list[str] | None = None,
+    dedupe_order: list[str] | None = None,
+    keep: str = "latest",
 ) -> bool:
     """Upsert ``source`` into the Parquet table at ``path``; False if already done.
 
-    ``staging`` names this load in the shared folder. The merged rows are
-    written there first, so the target is never read and overwritten in one job
-    and lineage ends at a stored table. A load that failed after staging goes on
-    from the staged rows, and a published load is not repeated: the call can be
-    repeated freely with the same staging name.
+    ``staging`` names this load in the shared folder. The source is stored there
+    with one row per key (so it is computed once, and the joins see its real
+    size), then the merged rows, so the target is never read and overwritten in
+    one job. A load that failed goes on from what it stored, and a published
+    load is not repeated: the call can be repeated freely with one staging name.
 
     With ``partition`` only partitions that the source names or that hold one of
     its keys are rewritten; a partition whose rows all moved away is removed.
     """
-    merged, touched, done = f"{staging}/merged", f"{staging}/touched", f"{staging}/published"
-    if path_exists(spark, f"{done}/_SUCCESS"):
+    rows_at, merged_at, touched_at, done = (f"{staging}/{n}" for n in ("source", "merged", "touched", "published"))
+    if _complete(spark, done):
         return False
-    if not path_exists(spark, path):
-        empty = spark.createDataFrame([], source.schema)
-        first = upsert(empty, source, keys, **options)
-        writer = first.write.mode("overwrite")
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+    if not _complete(spark, rows_at):
+        one_per_key(source, keys, dedupe_order, null_safe, keep).write.mode("overwrite").parquet(rows_at)
+    rows = spark.read.schema(source.schema).parquet(rows_at)
+
+    if not path_exists(spark, path) or path_exists(spark, f"{staging}/first"):
+        _mark(spark, f"{staging}/first")
+        _publish(rows, path, partition)
         _mark(spark, done)
         return True
 
-    if not path_exists(spark, f"{merged}/_SUCCESS"):
+    if not _complete(spark, merged_at):
         target = spark.read.parquet(path)
         if partition:
-            value = target.schema[partition].dataType
-            incoming = source.select(F.col(partition).cast(value).alias(partition))
-            holding = target.select(*keys, partition).join(source.select(*keys).distinct(), _same(keys, target, source), "left_semi")
-            incoming.union(holding.select(partition)).distinct().write.mode("overwrite").parquet(touched)
-            scope = spark.read.parquet(touched)
+            _touched(target, rows, keys, partition, null_safe).write.mode("overwrite").parquet(touched_at)
+            scope = spark.read.parquet(touched_at)
             target = target.join(scope, target[partition].eqNullSafe(scope[partition]), "left_semi")
-        upsert(target, source, keys, **options).write.mode("overwrite").parquet(merged)
-
-    staged = spark.read.parquet(merged)
-    if not partition:
-        staged.write.mode("overwrite").parquet(path)
-    else:
-        staged.hint("rebalance", F.col(partition)).write.mode("overwrite").partitionBy(partition).option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(path)
-        _drop_emptied(spark, path, partition, spark.read.parquet(touched), staged)
+        upsert(target, rows, keys, null_safe, update_columns, checked=True).write.mode("overwrite").parquet(merged_at)
+    merged = spark.read.parquet(merged_at)
+    _publish(merged, path, partition)
+    if partition:
+        _drop_emptied(spark, path, partition, spark.read.parquet(touched_at), merged)
     _mark(spark, done)
     return True
 
 
-def _same(keys: list[str], target: DataFrame, source: DataFrame) -> Column:
+def _complete(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def _publish(df: DataFrame, path: str, partition: str | None) -> None:
+    """Replace the table, or only the partitions that ``df`` has rows of."""
+    if not partition:
+        df.write.mode("overwrite").parquet(path)
+        return
+    df.hint("rebalance", F.col(partition)).write.mode("overwrite").partitionBy(partition).option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+
+
+def _touched(target: DataFrame, rows: DataFrame, keys: list[str], partition: str, null_safe: bool) -> DataFrame:
+    """Partition values the rows name, and those that hold one of their keys now."""
+    value = target.schema[partition].dataType
+    named = rows.select(F.col(partition).cast(value).alias(partition))
+    holding = target.select(*keys, partition).join(
+        rows.select(*keys), _same(keys, target, rows, null_safe), "left_semi"
+    )
+    return named.union(holding.select(partition)).distinct()
+
+
+def _same(keys: list[str], target: DataFrame, source: DataFrame, null_safe: bool) -> Column:
     out = F.lit(True)
     for key in keys:
         same = target.schema[key].dataType == source.schema[key].dataType
-        a, b = target[key], source[key]
-        out = out & (a.eqNullSafe(b) if same else a.cast("string").eqNullSafe(b.cast("string")))
+        a, b = (target[key], source[key]) if same else (target[key].cast("string"), source[key].cast("string"))
+        out = out & (a.eqNullSafe(b) if null_safe else a == b)
     return out
 
 
