@@ -95,6 +95,7 @@ class Rule:
     ``tag`` and, when given, one attribute must match; a class value matches
     when every word of it is on the element. ``take`` is ``text`` or an
     attribute name. ``nth`` keeps one occurrence (0-based), None keeps all.
+    ``within`` asks for an open (tag, attribute, value) around the element.
     """
 
     field: str
@@ -103,6 +104,17 @@ class Rule:
     value: str | None = None
     take: str = "text"
     nth: int | None = None
+    within: tuple[str, str, str] | None = None
+
+
+def _fits(have: str | None, attribute: str, value: str | None) -> bool:
+    if have is None:
+        return False
+    if value is None:
+        return True
+    if attribute == "class":
+        return set(value.split()) <= set(have.split())
+    return have == value
 
 
 class _RuleParser(HTMLParser):
@@ -113,21 +125,17 @@ class _RuleParser(HTMLParser):
         self.rules = rules
         self.seen = [0] * len(rules)
         self.hits: list[tuple[str, int, str]] = []
-        self.open: list[tuple[str, list[tuple[int, int, list[str]]]]] = []
+        self.open: list[tuple[str, dict[str, str | None], list[tuple[int, int, list[str]]]]] = []
 
     def _matches(self, rule: Rule, tag: str, attrs: dict[str, str | None]) -> bool:
         if rule.tag != tag:
             return False
-        if rule.attribute is None:
-            return True
-        have = attrs.get(rule.attribute)
-        if have is None:
+        if rule.attribute is not None and not _fits(attrs.get(rule.attribute), rule.attribute, rule.value):
             return False
-        if rule.value is None:
+        if rule.within is None:
             return True
-        if rule.attribute == "class":
-            return set(rule.value.split()) <= set(have.split())
-        return have == rule.value
+        outer, attribute, value = rule.within
+        return any(name == outer and _fits(have.get(attribute), attribute, value) for name, have, _ in self.open)
 
     def handle_starttag(self, tag, attrs):
         named = dict(attrs)
@@ -145,19 +153,19 @@ class _RuleParser(HTMLParser):
                 self.hits.append((rule.field, ordinal, named[rule.take]))
         if tag in VOID_TAGS:
             return
-        self.open.append((tag, collecting))
+        self.open.append((tag, named, collecting))
 
     def handle_data(self, data):
-        for _, collecting in self.open:
+        for _, _, collecting in self.open:
             for _, _, parts in collecting:
                 parts.append(data)
 
     def _close_top(self):
-        for i, ordinal, parts in self.open.pop()[1]:
+        for i, ordinal, parts in self.open.pop()[2]:
             self.hits.append((self.rules[i].field, ordinal, "".join(parts)))
 
     def handle_endtag(self, tag):
-        if any(name == tag for name, _ in self.open):
+        if any(name == tag for name, _, _ in self.open):
             while self.open:
                 done = self.open[-1][0] == tag
                 self._close_top()
@@ -218,4 +226,4 @@ def extract_fields(pages: DataFrame, rules: list[Rule], keep: list[str], html: s
             yield pd.concat([batch[keep].reset_index(drop=True), wide], axis=1)
 
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], *[f"`{f}` string" for f in fields]])
-    return pages.select(*keep, html).mapInPandas(parse, schema)
+    return pages.select(*dict.fromkeys([*keep, html])).mapInPandas(parse, schema)

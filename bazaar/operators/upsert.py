@@ -30,13 +30,8 @@ def _keys(df: DataFrame, other: DataFrame, keys: list[str], mark: str) -> list[C
     return [_key(df, other, k).alias(f"{mark}{i}") for i, k in enumerate(keys)]
 
 
-def _match(count: int, left: str, right: str, null_safe: bool) -> Column:
-    pairs = [
-        F.col(f"{left}{i}").eqNullSafe(F.col(f"{right}{i}"))
-        if null_safe
-        else F.col(f"{left}{i}") == F.col(f"{right}{i}")
-        for i in range(count)
-    ]
+def _match(count: int, left: str, right: str) -> Column:
+    pairs = [F.col(f"{left}{i}").eqNullSafe(F.col(f"{right}{i}")) for i in range(count)]
     return reduce(lambda a, b: a & b, pairs)
 
 
@@ -82,20 +77,35 @@ def upsert(
     checked to have unique keys, unless the caller has ``checked`` that already.
     """
     rows = source if checked else one_per_key(source, keys, dedupe_order, null_safe, keep)
+    if null_safe:
+        return _merge(target, rows, source, keys, update_columns)
+    # Rows with a NULL key part match nothing and are added as they are. The others
+    # hold no NULL, so the null-safe match finds exactly the equal keys for them.
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    merged = _merge(target, rows.dropna(subset=keys), source.dropna(subset=keys), keys, update_columns)
+    return merged.unionByName(
+        rows.filter(has_null).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    )
+
+
+def _merge(
+    target: DataFrame, rows: DataFrame, source: DataFrame, keys: list[str], update_columns: list[str] | None
+) -> DataFrame:
+    """Null-safe merge of ``rows`` (one per key); ``source`` has the same keys, repeated or not.
+
+    The match stays a null-safe one on purpose: its shuffle differs from the
+    dedupe's, so both join sides are fresh shuffles and AQE may split a hot key.
+    """
     columns = target.columns
     changed = set(update_columns if update_columns is not None else columns)
     n = len(keys)
-    typed = {f.name: F.col(f.name).cast(f.dataType) for f in target.schema.fields}
-
     incoming = rows.select(
-        *_keys(source, target, keys, "_s"), *[v.alias(f"_new_{c}") for c, v in typed.items()], F.lit(True).alias("_hit")
+        *_keys(source, target, keys, "_s"),
+        *[F.col(f.name).cast(f.dataType).alias(f"_new_{f.name}") for f in target.schema.fields],
+        F.lit(True).alias("_hit"),
     )
     current = target.select(*_keys(target, source, keys, "_t"), *columns)
-    # Under strict keys the dedupe left the rows placed by these very keys. A shuffle
-    # of its own keeps the join one that AQE may split at a hot target key.
-    placed = incoming if null_safe else incoming.repartition(*[f"_s{i}" for i in range(n)])
-
-    updated = current.join(placed, _match(n, "_t", "_s", null_safe), "left").select(
+    updated = current.join(incoming, _match(n, "_t", "_s"), "left").select(
         *[
             (F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) if c in changed else F.col(c)).alias(c)
             for c in columns
@@ -104,10 +114,10 @@ def upsert(
     # Keys the target already has, cut down to those the source asks about.
     known = (
         target.select(*_keys(target, source, keys, "_t"))
-        .join(source.select(*_keys(source, target, keys, "_s")), _match(n, "_t", "_s", null_safe), "left_semi")
+        .join(source.select(*_keys(source, target, keys, "_s")), _match(n, "_t", "_s"), "left_semi")
         .distinct()
     )
-    added = incoming.join(known, _match(n, "_s", "_t", null_safe), "left_anti").select(
+    added = incoming.join(known, _match(n, "_s", "_t"), "left_anti").select(
         *[F.col(f"_new_{c}").alias(c) for c in columns]
     )
     return updated.unionByName(added)

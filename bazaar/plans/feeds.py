@@ -108,7 +108,9 @@ FEEDS: dict[str, Feed] = {
         sheet=0, headers="camel", date_formats=(D.REPORT_FORMATS["short_month_minutes"],),
         load="merge", keys=("order_item_id", "store_name"), order=("upload_tstamp",),
     ),
-    "marketplace_orders": Feed(headers="slash_marks", date_formats=_ISO),
+    "marketplace_orders": Feed(
+        headers="slash_marks", vocabulary=V.MARKETPLACE_ORDERS, money_types=("FLOAT",), date_formats=_ISO
+    ),
     "cancelled_orders": Feed(
         headers="slash_marks", money_types=("FLOAT",), invalid="zero", date_formats=_ISO, load="merge",
         keys=("no_pesanan", "waktu_pesanan_dibuat", "sku_induk", "folder"), order=("load_timestamp",), **_LATEST,

@@ -26,7 +26,9 @@ CARD_RULES = [
     H.Rule("product_url", "a", "class", "css-54k5sq", take="href", nth=0),
     H.Rule("original_price", "div", "class", "css-rn1hus", nth=0),
     H.Rule("sold", "div", "class", "css-1riykrk", nth=0),
+    H.Rule("store_type", "img", take="src", nth=0, within=("div", "class", "css-1hy7m5k")),
 ]
+CARD_BLOCK = '<div class="css-bk6tzz e1nlzfl2"[^>]*>'
 
 ITEM_RULES = [
     H.Rule("url", "meta", "name", "branch:deeplink:$desktop_url", take="content", nth=0),
@@ -47,10 +49,10 @@ ITEM_RULES = [
 STORE_SEGMENT = 10
 
 
-def category_rows(pages: DataFrame, keep: list[str], block_tag: str = "<div class=\"css-llwpbs\">") -> DataFrame:
+def category_rows(pages: DataFrame, keep: list[str]) -> DataFrame:
     """One row per item card, with the page's categories repeated."""
     head = H.extract_fields(pages, PAGE_RULES, [*keep, "html"])
-    blocks = F.slice(F.split("html", f"\\Q{block_tag}\\E"), F.lit(2), F.lit(1 << 30))
+    blocks = F.slice(F.split("html", CARD_BLOCK), F.lit(2), F.lit(1 << 30))
     named = [r.field for r in PAGE_RULES]
     cards = head.select(*keep, *named, F.posexplode(blocks).alias("card", "block"))
     rows = H.extract_fields(cards, CARD_RULES, [*keep, *named, "card"], html="block")
@@ -80,6 +82,7 @@ def item_rows(pages: DataFrame, keep: list[str]) -> DataFrame:
             "product_id": X.segment(F.col("product_id"), -1),
             "store_id": X.segment(X.url_clean(F.col("store_id")), STORE_SEGMENT),
             "sold": X.parse_abbrev_count(F.col("sold")),
+            "seller_type": X.url_clean(F.col("seller_type")),
             "stock": whole("stock"),
             "item_rating": X.to_number(F.col("item_rating")),
             "rating_count": whole("rating_count"),

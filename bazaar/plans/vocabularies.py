@@ -141,3 +141,53 @@ VIDEO_INDONESIAN = {
     "CTOR": "co_rate",
 }
 
+
+MARKETPLACE_ORDERS = {
+    "No. Pesanan": "order_number",
+    "Status Pesanan": "order_status",
+    "Alasan Pembatalan": "cancel_reason",
+    "Status Pembatalan/ Pengembalian": "cancel_return_status",
+    "No. Resi": "receipt_number",
+    "Opsi Pengiriman": "shipping_option",
+    "Antar ke counter/ pick-up": "seller_shipping_option",
+    "Pesanan Harus Dikirimkan Sebelum (Menghindari keterlambatan)": "due_date_shipping_product",
+    "Waktu Pengiriman Diatur": "arrange_delivery_time",
+    "Waktu Pesanan Dibuat": "create_delivery_time",
+    "Waktu Pembayaran Dilakukan": "conducted_delivery_time",
+    "SKU Induk": "sku",
+    "Nama Produk": "product_name",
+    "Nomor Referensi SKU": "sku_reference_number",
+    "Nama Variasi": "variation_name",
+    "Harga Awal": "initiate_price",
+    "Harga Setelah Diskon": "discount_incl_price",
+    "Jumlah": "total_goods",
+    "Total Harga Produk": "total_product_price",
+    "Total Diskon": "total_discount",
+    "Diskon Dari Penjual": "discount_from_seller",
+    "Diskon Dari Shopee": "discount_from_shopee",
+    "Berat Produk": "weight_product",
+    "Jumlah Produk di Pesan": "total_order_product",
+    "Total Berat": "total_weight",
+    "Voucher Ditanggung Penjual": "voucher_from_seller",
+    "Cashback Koin": "coin_cashback",
+    "Voucher Ditanggung Shopee": "voucher_from_shopee",
+    "Paket Diskon": "discount_package",
+    "Paket Diskon (Diskon dari Shopee)": "discount_shopee_package",
+    "Paket Diskon (Diskon dari Penjual)": "discount_seller_package",
+    "Potongan Koin Shopee": "coin_discount_shopee",
+    "Diskon Kartu Kredit": "discount_credit_card",
+    "Ongkos Kirim Dibayar oleh Pembeli": "buyer_shipping_price",
+    "Estimasi Potongan Biaya Pengiriman": "estimate_discount_shipping_price",
+    "Ongkos Kirim Pengembalian Barang": "return_shipping_price",
+    "Total Pembayaran": "total_price",
+    "Perkiraan Ongkos Kirim": "estimate_shipping_price",
+    "Catatan dari Pembeli": "note_from_seller",
+    "Catatan": "note",
+    "Username (Pembeli)": "buyer_username",
+    "Nama Penerima": "buyer_name",
+    "No. Telepon": "buyer_phone_number",
+    "Alamat Pengiriman": "buyer_address",
+    "Kota/Kabupaten": "buyer_city",
+    "Provinsi": "buyer_province",
+    "Waktu Pesanan Selesai": "complete_delivery_time",
+}
