@@ -61,17 +61,22 @@ def _ship_package(spark: SparkSession) -> None:
         context.addPyFile(f"{archive}.zip")
 
 
+_own_root: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only where that setting is absent (tests, a laptop) is a temporary folder
-    made, and it is then recorded so one session keeps using one folder.
+    made, one per application.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="bazaar-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _own_root:
+        _own_root[application] = tempfile.mkdtemp(prefix="bazaar-")
+    return _own_root[application]
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
