@@ -72,7 +72,13 @@ def filter_basic(spark, d):
     )
 
 
-@check("sample_hash")
+@check(
+    "sample_hash",
+    """
+SELECT c_custkey, c_name FROM customer
+WHERE CAST('0x' || substr(md5('7|' || CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 10
+""",
+)
 def sample_hash(spark, d):
     return Fl.hash_sample(table(spark, d, "customer"), "c_custkey", 7, 10, 100).select("c_custkey", "c_name")
 

@@ -17,7 +17,40 @@ RULES = [
 ]
 
 
-@check("html_elements")
+def _decoded(sql: str) -> str:
+    """The references that occur in the pages; the ampersand comes last."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        sql = f"regexp_replace({sql}, '&{name};?', '{char}', 'g')"
+    return sql
+
+
+def _bare(sql: str) -> str:
+    return f"regexp_replace({sql}, '<[^>]*>', '', 'g')"
+
+
+# Scripts and comments hold no elements; the parser never sees tags in them.
+_VISIBLE = r"regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>', '', 'g')"
+_FOUND = {
+    "title": (r"(?is)<title>(.*?)</title>", "{}[1:1]"),
+    "heading": (r"(?is)<h1(?: [^>]*)?>(.*?)</h1>", "{}"),
+    "link": (r'(?is)<a [^>]*href="([^"]*)"', "{}"),
+    "ad": (r'(?is)<div class="ad">(.*?)</div>', "{}"),
+    "charset": (r'(?is)<meta charset="([^"]*)"', "{}[1:1]"),
+    "item": (r"(?is)<li(?: [^>]*)?>(.*?)</li>", "{}"),
+}
+_ELEMENTS = " UNION ALL ".join(
+    f"SELECT page_id, '{name}' AS field, {keep.format(f'regexp_extract_all({_VISIBLE}, $${pattern}$$, 1)')} AS hits FROM pages"
+    for name, (pattern, keep) in _FOUND.items()
+)
+
+
+@check(
+    "html_elements",
+    f"""
+SELECT page_id, field, CAST(i - 1 AS INTEGER) AS ordinal, {_decoded(_bare("hits[i]"))} AS value
+FROM ({_ELEMENTS}), LATERAL (SELECT unnest(range(1, len(hits) + 1)) AS i)
+""",
+)
 def html_elements(spark, d):
     return H.extract_elements(table(spark, d, "pages"), RULES)
 
@@ -48,13 +81,6 @@ STRIP_SQL = r"""regexp_replace(regexp_replace(html,
   '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g'), '<[^>]*>', '', 'g')"""
 
 
-def _decoded(sql: str) -> str:
-    for entity, char in H.ENTITIES.items():
-        char = char.replace("'", "''")
-        sql = f"replace({sql}, '{entity}', '{char}')"
-    return sql
-
-
 @check("html_strip_tags", f"SELECT page_id, {_decoded(STRIP_SQL)} AS text FROM pages")
 def html_strip_tags(spark, d):
     return table(spark, d, "pages").select("page_id", H.strip_tags(F.col("html")).alias("text"))
@@ -63,7 +89,7 @@ def html_strip_tags(spark, d):
 @check(
     "html_blocks",
     f"""
-SELECT page_id, i - 1 AS ordinal, title, {_decoded("regexp_replace(blocks[i], '<[^>]*>', '', 'g')")} AS text FROM (
+SELECT page_id, i - 1 AS ordinal, title, {_decoded(_bare("blocks[i]"))} AS text FROM (
   SELECT page_id, nullif(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '') AS title,
     regexp_extract_all(html, '(?is)<p(?: [^>]*)?>(.*?)</p>', 1) AS blocks FROM pages),
   LATERAL (SELECT unnest(range(1, len(blocks) + 1)) AS i)

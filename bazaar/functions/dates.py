@@ -5,6 +5,8 @@ The clock is always a column or literal given by the caller.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,28 @@ BUSINESS_ZONE = "Asia/Jakarta"
 MAX_RANGE_DAYS = 30
 
 
+# Text a run of pattern letters can stand for; a single letter takes one or two digits.
+_LETTER_SHAPES = {"yyyy": "[0-9]{4}", "MMM": "[A-Za-z]+", "MM": "[0-9]{2}", "dd": "[0-9]{2}", "HH": "[0-9]{2}",
+                  "mm": "[0-9]{2}", "ss": "[0-9]{2}"}
+
+
+def _shape(fmt: str) -> str:
+    """Regular expression that every text of a date format fits."""
+    parts = re.finditer(r"'(?P<quoted>[^']*)'|(?P<letters>([A-Za-z])\3*)|(?P<sign>.)", fmt)
+    shapes = [
+        _LETTER_SHAPES.get(p["letters"], "[0-9]{1,2}") if p["letters"] else re.escape(p["quoted"] or p["sign"])
+        for p in parts
+    ]
+    return f"^{''.join(shapes)}$"
+
+
 def parse_dates(text: Column, *formats: str) -> Column:
-    """First format that fits gives the timestamp; none gives NULL."""
-    return F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(f)) for f in formats])
+    """First format that fits gives the timestamp; none gives NULL.
+
+    Texts of another shape are not handed to the parser: its failures are slow.
+    """
+    bare = F.trim(text)
+    return F.coalesce(*[F.when(bare.rlike(_shape(f)), F.try_to_timestamp(bare, F.lit(f))) for f in formats])
 
 
 def parse_id_date(text: Column) -> Column:

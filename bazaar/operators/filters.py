@@ -33,8 +33,13 @@ def without_words(tokens: Column, stop_words: list[str]) -> Column:
 
 
 def hash_sample(df: DataFrame, key: str, seed: int, keep: int, out_of: int) -> DataFrame:
-    """Repeatable sample: a row is in by the hash of its key, wherever it is stored."""
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(out_of)) < keep)
+    """Repeatable sample: a row is in by the hash of its key, wherever it is stored.
+
+    MD5 is used because every engine computes the same one.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+    spread = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return df.filter(spread % out_of < keep)
 
 
 def random_sample(df: DataFrame, fraction: float, limit: int, seed: int | None = None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
 
@@ -42,25 +41,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Make a given session use the time zone the results are stated in."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    _ship_package(spark)
     return spark
 
 
-def _ship_package(spark: SparkSession) -> None:
-    """Let executors that do not share this file system import the package.
-
-    Only the Python row functions (pages, workbooks) need it.
-    """
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        return
-    archive = os.path.join(tempfile.gettempdir(), f"bazaar-{context.applicationId}")
-    if not os.path.exists(f"{archive}.zip"):
-        here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        shutil.make_archive(archive, "zip", root_dir=here, base_dir="bazaar")
-        context.addPyFile(f"{archive}.zip")
-
-
 _own_root: dict[str, str] = {}
 
 

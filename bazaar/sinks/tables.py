@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from bazaar.operators.dedupe import dedupe
 from bazaar.operators.upsert import one_per_key, upsert
 
+# Partition values handled as literals; a bound on driver memory, not on results.
+MAX_LISTED = 10000
+
 GRAINS = {"DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
 
 
@@ -174,8 +177,7 @@ def merge_into(
         target = spark.read.parquet(path)
         if partition:
             _touched(target, rows, keys, partition, null_safe).write.mode("overwrite").parquet(touched_at)
-            scope = spark.read.parquet(touched_at)
-            target = target.join(scope, target[partition].eqNullSafe(scope[partition]), "left_semi")
+            target = _in_partitions(target, spark.read.parquet(touched_at), partition)
         upsert(target, rows, keys, null_safe, update_columns, checked=True).write.mode("overwrite").parquet(merged_at)
     merged = spark.read.parquet(merged_at)
     _publish(merged, path, partition)
@@ -203,12 +205,27 @@ def _touched(target: DataFrame, rows: DataFrame, keys: list[str], partition: str
     """Partition values the rows name, and those that hold one of their keys now."""
     value = target.schema[partition].dataType
     named = rows.select(F.col(partition).cast(value).alias(partition))
+    if partition in keys:  # a key cannot be found in another partition
+        return named.distinct()
     holding = target.select(*keys, partition).join(
         rows.select(*keys), _same(keys, target, rows, null_safe), "left_semi"
     )
     return named.union(holding.select(partition)).distinct()
 
 
+def _in_partitions(target: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """Rows of the touched partitions, found by their folders.
+
+    Partition values are few; as literals they prune the scan before it starts.
+    Past ``MAX_LISTED`` a semi join does it.
+    """
+    values = [row[0] for row in touched.limit(MAX_LISTED + 1).collect()]
+    if len(values) > MAX_LISTED:
+        return target.join(touched, target[partition].eqNullSafe(touched[partition]), "left_semi")
+    named = F.col(partition).isin([v for v in values if v is not None])
+    return target.filter(named | F.col(partition).isNull() if None in values else named)
+
+
 def _same(keys: list[str], target: DataFrame, source: DataFrame, null_safe: bool) -> Column:
     out = F.lit(True)
     for key in keys:

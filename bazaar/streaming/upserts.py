@@ -25,6 +25,9 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge every micro-batch: deduped by key, then upserted.
 
+    Give ``partition`` for a large table: then a batch rewrites only the
+    partitions it touches, else the table.
+
     The batch number names the staging of each merge, so a batch that is run
     again after a failure is finished or skipped, never merged twice.
     """

@@ -49,6 +49,8 @@ CASES = [
     (lambda c: D.parse_dates(c, D.REPORT_FORMATS["day_first_seconds"], D.REPORT_FORMATS["iso_day"]).cast("string"),
      {"31/12/2023 10:11:12": "2023-12-31 10:11:12", "1/2/2023 1:02:03": "2023-02-01 01:02:03",
       "2023-02-01": "2023-02-01 00:00:00", "32/12/2023 10:11:12": None, "": None}),
+    (H.decode_entities, {"a &lt; b &#39;&#8364;&nbsp;x": "a < b '\u20ac\u00a0x", "R&D &foo; &": "R&D &foo; &", "&copy 1": "\u00a9 1",
+                         "plain": "plain", "": "", None: None, "&amp;lt;": "&lt;"}),
     (H.strip_tags, {"<b>a</b> &amp;lt; <script>x</script>b<!-- c -->": "a &lt; b"}),
 ]
 

@@ -88,3 +88,18 @@ def test_create_deduped_is_day_partitioned(spark, tmp_path):
     K.create_deduped(df, str(tmp_path / "t"), ["k"], ["d"], "d")
     row = spark.read.parquet(str(tmp_path / "t")).first()
     assert row.v == "old" and str(row.part) == "2024-01-01"
+
+
+@pytest.mark.parametrize("listed", [10000, 1])
+def test_partition_in_the_key_and_many_partitions(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(K, "MAX_LISTED", listed)
+    path = str(tmp_path / "t")
+    target = [(i, f"p{i % 6}", 0) for i in range(30)]
+    spark.createDataFrame(target, "k int, p string, v int").write.partitionBy("p").parquet(path)
+    source = [(0, "p0", 1), (1, "p1", 1), (1, "p2", 1), (99, None, 1)]
+    K.merge_into(
+        spark, spark.createDataFrame(source, "k int, p string, v int"), path, ["k", "p"], str(tmp_path / "s"), partition="p"
+    )
+    got = spark.read.schema("k int, v int, p string").parquet(path).select("k", "p", "v")
+    want = {(k, p): v for k, p, v in target} | {(k, p): v for k, p, v in source}
+    assert rows(got) == sorted(repr((k, p, v)) for (k, p), v in want.items())
