@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from bazaar.checks.registry import check, day_text, minute_text, table
 from bazaar.functions import dates as D
 
-SHOWN = ["day_first_seconds", "day_first_dash_minutes", "short_month_minutes", "month_first_dash"]
-
 
 @check(
     "parse_dates",
@@ -23,30 +21,36 @@ FROM orders
 )
 def parse_dates(spark, d):
     when, fmt = F.col("o_orderdate"), D.REPORT_FORMATS
-    shown = {
-        "seconds": ("dd/MM/yyyy HH:mm:ss", "day_first_seconds"),
-        "dashes": ("dd-MM-yyyy HH:mm", "day_first_dash_minutes"),
-        "month_name": ("dd MMM yyyy HH:mm", "short_month_minutes"),
-        "slashes": ("yyyy/MM/dd/ HH:mm", "year_first_slash_minutes"),
+    shown = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.date_format(when, "dd/MM/yyyy HH:mm:ss").alias("seconds"),
+        F.date_format(when, "dd-MM-yyyy HH:mm").alias("dashes"),
+        F.date_format(when, "dd MMM yyyy HH:mm").alias("month_name"),
+        F.date_format(when, "yyyy/MM/dd/ HH:mm").alias("slashes"),
+        F.date_format(when, "MM-dd-yyyy").alias("month_first"),
+        F.concat(F.date_format(when, "dd/MM/yyyy"), F.lit(" GMT+7")).alias("with_offset"),
+        F.concat(F.lit("32/"), F.date_format(when, "MM/yyyy HH:mm:ss")).alias("broken"),
+    ).withColumn("several", F.when(F.col("o_orderkey") % 2 == 0, F.col("seconds")).otherwise(F.col("dashes")))
+    layouts = {
+        "seconds": ["day_first_seconds"],
+        "dashes": ["day_first_dash_minutes"],
+        "month_name": ["short_month_minutes"],
+        "slashes": ["year_first_slash_minutes"],
+        "month_first": ["month_first_dash"],
+        "with_offset": ["day_first_offset"],
+        "several": ["day_first_seconds", "day_first_dash_minutes"],
+        "broken": ["day_first_seconds"],
     }
-    several = F.when(F.col("o_orderkey") % 2 == 0, F.date_format(when, "dd/MM/yyyy HH:mm:ss")).otherwise(
-        F.date_format(when, "dd-MM-yyyy HH:mm")
-    )
-    return table(spark, d, "orders").select(
+    as_text = {"month_first": day_text, "with_offset": day_text}
+    return shown.select(
         "o_orderkey",
-        *[minute_text(D.parse_dates(F.date_format(when, out), fmt[key])).alias(n) for n, (out, key) in shown.items()],
-        day_text(D.parse_dates(F.date_format(when, "MM-dd-yyyy"), fmt["month_first_dash"])).alias("month_first"),
-        day_text(
-            D.parse_dates(F.concat(F.date_format(when, "dd/MM/yyyy"), F.lit(" GMT+7")), fmt["day_first_offset"])
-        ).alias("with_offset"),
-        minute_text(D.parse_dates(several, fmt["day_first_seconds"], fmt["day_first_dash_minutes"])).alias("several"),
-        minute_text(
-            D.parse_dates(F.concat(F.lit("32/"), F.date_format(when, "MM/yyyy HH:mm:ss")), fmt["day_first_seconds"])
-        ).alias("broken"),
+        *[
+            as_text.get(name, minute_text)(D.parse_dates(F.col(name), *[fmt[key] for key in keys])).alias(name)
+            for name, keys in layouts.items()
+        ],
     )
 
 
-FULL = "['Januari','Februari','Maret','April','Mei','Juni','Juli','Agustus','September','Oktober','November','Desember']"
 SHORT = "['Jan','Feb','Mar','Apr','Mei','Jun','Jul','Agu','Sep','Okt','Nov','Des']"
 
 

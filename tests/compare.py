@@ -43,7 +43,7 @@ def _rows(table):
 def compare(spark, sf_dir: str, query, sql: str) -> str:
     """Empty text when both sides agree, else what differs."""
     ours = _rows(query(spark, sf_dir).toArrow())
-    theirs = _rows(oracle(sf_dir).execute(sql).to_arrow_table())
+    theirs = _rows(oracle(sf_dir).sql(sql).to_arrow_table())
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} / {theirs[0]}"
     if ours[1] != theirs[1]:
