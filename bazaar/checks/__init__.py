@@ -9,6 +9,7 @@ from bazaar.checks import (  # noqa: F401
     html,
     joins,
     nested,
+    shapes,
     sinks,
     sources,
     streams,
