@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bazaar.checks.registry import check, table
 from bazaar.functions import html as H
+from bazaar.functions.nested import explode_rows
 
 RULES = [
     H.Rule("title", "title", nth=0),
@@ -62,7 +63,7 @@ SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*)"', 1)
 """,
 )
 def html_links(spark, d):
-    return table(spark, d, "pages").select("page_id", F.explode(H.links(F.col("html"))).alias("href"))
+    return explode_rows(table(spark, d, "pages"), H.links(F.col("html")), ["page_id"], "href")
 
 
 @check(
@@ -74,7 +75,7 @@ SELECT page_id, unnest(list_transform(list_filter(regexp_extract_all(html, '(?i)
 )
 def html_links_marked(spark, d):
     marked = H.links_with(F.col("html"), "href", "/the")
-    return table(spark, d, "pages").select("page_id", F.explode(marked).alias("href"))
+    return explode_rows(table(spark, d, "pages"), marked, ["page_id"], "href")
 
 
 STRIP_SQL = r"""regexp_replace(regexp_replace(html,

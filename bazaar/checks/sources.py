@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bazaar.checks.fixtures import preamble_lines, workbooks
 from bazaar.checks.registry import check, day_text, table
 from bazaar.functions import text as X
+from bazaar.functions.nested import explode_rows
 from bazaar.operators import contracts as C
 from bazaar.session import work_folder
 from bazaar.sinks import tables as K
@@ -62,10 +63,9 @@ def scan_workbook_grid(spark, d):
 
 def document_grid(spark, d):
     """Documents as report grids: a row per line, a cell per word."""
-    return table(spark, d, "documents").select(
-        F.col("doc_id").alias("path"),
-        F.posexplode(F.split("text", "\n")).alias("row_no", "line"),
-    ).select("path", "row_no", reports.cells_of(F.col("line"), " ").alias("cells"))
+    docs = table(spark, d, "documents").withColumnRenamed("doc_id", "path")
+    lines = explode_rows(docs, F.split("text", "\n"), ["path"], "line", "row_no")
+    return lines.select("path", "row_no", reports.cells_of(F.col("line"), " ").alias("cells"))
 
 
 @check(

@@ -8,6 +8,7 @@ parse per page, any number of rules per parse.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.entities import name2codepoint
@@ -31,7 +32,7 @@ VOID_TAGS = frozenset(
 
 def decode_entities(text: Column) -> Column:
     """Character references to characters, in one pass: ``&amp;lt;`` gives ``&lt;``."""
-    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
 
     def decoded(token: Column) -> Column:
         code = F.regexp_extract(token, "^&#([0-9]{1,7});$", 1)

@@ -58,9 +58,24 @@ def discover_schema(df: DataFrame, json_column: str) -> str:
     return df.select(F.schema_of_variant_agg(parsed)).first()[0]
 
 
+def explode_rows(
+    df: DataFrame, array: Column, keep: list[str], name: str = "item", position: str | None = None
+) -> DataFrame:
+    """One row per array element, with its 0-based position when asked for.
+
+    A plain explode makes Spark add "array is not empty" filters below it, which
+    compute the array again; for arrays parsed or matched out of large texts that
+    is most of the work. The outer form adds none, and dropping the rows without a
+    position leaves exactly the elements.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias("_at", name)).filter(F.col("_at").isNotNull())
+    out = [*keep, F.col("_at").alias(position), name] if position else [*keep, name]
+    return rows.select(*out)
+
+
 def explode_items(df: DataFrame, items: Column, keep: list[str], inner: str | None = None) -> DataFrame:
     """One row per array element; its fields (or those of ``inner``) become columns."""
-    rows = df.select(*keep, F.explode(items).alias("_item"))
+    rows = explode_rows(df, items, keep, "_item")
     return rows.select(*keep, f"_item.{inner}.*" if inner else "_item.*")
 
 
@@ -108,9 +123,8 @@ def json_default(payload: Column, path: str, default: str) -> Column:
 
 def edge_list(df: DataFrame, owner: str, post: str, tagged: Column) -> DataFrame:
     """(owner, post, tagged) rows of an array of tagged names."""
-    return df.select(
-        F.col(owner).alias("owner"), F.col(post).alias("post"), F.explode(tagged).alias("tagged")
-    )
+    named = df.select(F.col(owner).alias("owner"), F.col(post).alias("post"), tagged.alias("_tagged"))
+    return explode_rows(named, F.col("_tagged"), ["owner", "post"], "tagged")
 
 
 def widget_cells(df: DataFrame, widgets: Column, data_key: str, keep: list[str]) -> DataFrame:
@@ -121,9 +135,6 @@ def widget_cells(df: DataFrame, widgets: Column, data_key: str, keep: list[str])
     from bazaar.functions.html import strip_tags
 
     found = F.filter(widgets, lambda w: w.getField("data_key") == data_key)
-    rows = df.select(*keep, F.explode(found).alias("_w")).select(
-        *keep, F.posexplode("_w.rows").alias("row_no", "_r")
-    )
-    return rows.select(*keep, "row_no", F.posexplode("_r.columns").alias("col_no", "_c")).select(
-        *keep, "row_no", "col_no", strip_tags(F.col("_c.value")).alias("value")
-    )
+    rows = explode_rows(explode_rows(df, found, keep, "_w"), F.col("_w.rows"), keep, "_r", "row_no")
+    cells = explode_rows(rows, F.col("_r.columns"), [*keep, "row_no"], "_c", "col_no")
+    return cells.select(*keep, "row_no", "col_no", strip_tags(F.col("_c.value")).alias("value"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.functions import html as H
+from bazaar.functions.nested import explode_rows
 from bazaar.functions.text import segment
 from bazaar.operators.dedupe import first_by_ordinal
 from bazaar.operators.joins import left_join_fanout
@@ -18,7 +19,7 @@ def products(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame
         "offers struct<price string, lowPrice string, highPrice string>, "
         "aggregateRating struct<ratingValue string, ratingCount string>"
     )
-    scripts = pages.select(*keep, F.posexplode(H.ld_json(F.col(html))).alias("ordinal", "script"))
+    scripts = explode_rows(pages, H.ld_json(F.col(html)), keep, "script", "ordinal")
     docs = scripts.withColumn("doc", F.from_json("script", schema)).filter(F.col("doc.productID").isNotNull())
     number = lambda c: F.col(c).try_cast("double")
     return docs.select(
@@ -35,7 +36,7 @@ def products(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame
 
 def cards(pages: DataFrame, keep: list[str], blocks: Column, fields: dict[str, Column]) -> DataFrame:
     """One row per repeated item block; ``fields`` read the column ``block``."""
-    rows = pages.select(*keep, F.posexplode(blocks).alias("card", "block"))
+    rows = explode_rows(pages, blocks, keep, "block", "card")
     return rows.select(*keep, "card", *[c.alias(n) for n, c in fields.items()])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from bazaar.functions import html as H
 from bazaar.functions import numbers as N
 from bazaar.functions import text as X
+from bazaar.functions.nested import explode_rows
 
 PAGE_RULES = [
     H.Rule("l1_category", "a", "class", "css-wms9d7", nth=2),
@@ -54,7 +55,7 @@ def category_rows(pages: DataFrame, keep: list[str]) -> DataFrame:
     head = H.extract_fields(pages, PAGE_RULES, [*keep, "html"])
     blocks = F.slice(F.split("html", CARD_BLOCK), F.lit(2), F.lit(1 << 30))
     named = [r.field for r in PAGE_RULES]
-    cards = head.select(*keep, *named, F.posexplode(blocks).alias("card", "block"))
+    cards = explode_rows(head, blocks, [*keep, *named], "block", "card")
     rows = H.extract_fields(cards, CARD_RULES, [*keep, *named, "card"], html="block")
     url = X.url_clean(F.col("product_url"))
     after_price_word = F.regexp_replace("original_price", ".*Rp", "")

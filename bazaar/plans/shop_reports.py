@@ -54,11 +54,14 @@ SOCIAL_SCHEMA = (
 )
 
 
-def _widget_cell(widgets: Column, key: str, row: int, col: int) -> Column:
-    """Text of one cell of the rows of all widgets with a key."""
+def _widget_rows(widgets: Column, key: str) -> Column:
+    """Rows of all widgets with a key."""
     found = F.filter(widgets, lambda w: w.getField("dataKey") == key)
-    rows = F.flatten(F.transform(found, lambda w: w.getField("data").getField("rows")))
-    return H.strip_tags(F.get(F.get(rows, F.lit(row)).getField("columns"), F.lit(col)).getField("value"))
+    return F.flatten(F.transform(found, lambda w: w.getField("data").getField("rows")))
+
+
+def _cell(rows: str, row: int, col: int) -> Column:
+    return H.strip_tags(F.get(F.get(F.col(rows), F.lit(row)).getField("columns"), F.lit(col)).getField("value"))
 
 
 def operational_rows(payloads: DataFrame, now: Column, **tags: object) -> DataFrame:
@@ -73,15 +76,19 @@ def operational_rows(payloads: DataFrame, now: Column, **tags: object) -> DataFr
         )
     )
     listed = docs.drop("payload", "doc").columns
-    held = docs.select(*listed, widgets.alias("widgets"))
+    held = docs.select(*listed, widgets.alias("widgets")).select(
+        *listed,
+        _widget_rows(F.col("widgets"), RATE_WIDGET).alias("rates"),
+        _widget_rows(F.col("widgets"), SPEED_WIDGET).alias("speeds"),
+    )
     out = []
     for row, subject in enumerate(("chat", "discussion")):
         rate, speed = f"{subject}_replied_rate", f"{subject}_reply_speed"
-        out.append(X.parse_percent(_widget_cell(F.col("widgets"), RATE_WIDGET, row, 1)).alias(rate))
-        out.append(X.parse_minutes(_widget_cell(F.col("widgets"), SPEED_WIDGET, row, 1)).alias(speed))
-        for name, widget in ((rate, RATE_WIDGET), (speed, SPEED_WIDGET)):
-            out.append(_widget_cell(F.col("widgets"), widget, row, 2).alias(f"{name}_target"))
-            out.append(_widget_cell(F.col("widgets"), widget, row, 3).alias(f"{name}_description"))
+        out.append(X.parse_percent(_cell("rates", row, 1)).alias(rate))
+        out.append(X.parse_minutes(_cell("speeds", row, 1)).alias(speed))
+        for name, rows in ((rate, "rates"), (speed, "speeds")):
+            out.append(_cell(rows, row, 2).alias(f"{name}_target"))
+            out.append(_cell(rows, row, 3).alias(f"{name}_description"))
     start, end = D.report_period(D.business_day(now), "previous_7")
     return C.tag(held.select(*listed, *out), **tags, start_date=start, end_date=end)
 
@@ -120,7 +127,7 @@ def official_stores(pages: DataFrame, keep: list[str]) -> DataFrame:
     anchors = F.regexp_extract_all(
         F.col("html"), F.lit('(?is)<a [^>]*data-testid="lblOSBrandLink"[^>]*>.*?</a>'), F.lit(0)
     )
-    rows = pages.select(*keep, F.explode(anchors).alias("a"))
+    rows = J.explode_rows(pages, anchors, keep, "a")
     label = F.regexp_extract("a", '(?is)<p [^>]*data-testid="lblOSBrBrandName"[^>]*>(.*?)</p>', 1)
     return rows.select(
         *keep,
@@ -136,7 +143,7 @@ def hashtag_posts(payloads: DataFrame, hashtag: str = "hashtag") -> DataFrame:
     empty = F.array().cast("array<struct<layout_content: struct<medias: array<struct<media: struct<code: string, user: struct<username: string>>>>>>>")
     sections = F.concat(*[F.coalesce(F.col(f"doc.data.{part}.sections"), empty) for part in ("top", "recent")])
     medias = F.flatten(F.transform(sections, lambda s: F.coalesce(s.getField("layout_content").getField("medias"), F.array())))
-    return docs.select(hashtag, F.explode(medias).alias("m")).select(
+    return J.explode_rows(docs, medias, [hashtag], "m").select(
         hashtag, F.col("m.media.user.username").alias("username"), F.col("m.media.code").alias("shortcode")
     )
 
@@ -164,7 +171,7 @@ def profile_rows(payloads: DataFrame) -> DataFrame:
 def _posts(payloads: DataFrame) -> DataFrame:
     docs = parse_payload(payloads, "payload", SOCIAL_SCHEMA)
     edges = F.col("doc.graphql.user.edge_owner_to_timeline_media.edges")
-    return docs.select(F.explode(edges).alias("edge")).select("edge", "edge.node.*")
+    return J.explode_rows(docs, edges, [], "edge").select("edge", "edge.node.*")
 
 
 def post_rows(payloads: DataFrame) -> DataFrame:

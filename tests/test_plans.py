@@ -57,3 +57,18 @@ def test_scans_read_only_needed_columns(spark, sf, name, column):
 
 def test_reconcile_has_one_scan_per_table(spark, sf):
     assert plan_text(QUERIES["reconcile_coverage"](spark, sf)).count("FileScan parquet") == 2
+
+
+@pytest.mark.parametrize(
+    "name,function",
+    [
+        ("explode_items", "from_json"),
+        ("hashtag_posts", "from_json"),
+        ("operational_report", "from_json"),
+        ("html_links", "regexp_extract_all"),
+        ("grid_to_table", "split(text"),
+    ],
+)
+def test_expensive_arrays_are_computed_once(spark, sf, name, function):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(function) == 1
