@@ -33,27 +33,34 @@ TEMPLATES = (
 )
 LEAST_COVERAGE = 0.6
 INDEX_WORDS = 2
-#: A text that any phrase or template can stand in holds one of these.
-_CUE = r"(?i)licen|(?<![0-9a-z])cc(?![0-9a-z])|rights|permission|redistribution"
+#: A text that any phrase or template can stand in holds one of these (or the word cc).
+_CUES = ("licen", "rights", "permission", "redistribution")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def lexicon() -> list[str]:
-    """All words of the templates and base phrases."""
-    return sorted({w for text in [*BASE, *(t for _, t, _ in TEMPLATES)] for w in text.split()})
-
-
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, _UPPER, _LOWER), _GAP), lambda w: w != "")
+    """All words that templates and base phrases can be indexed by: those of the phrases that must stand."""
+    return sorted({w for text in [*BASE, *(must for _, _, must in TEMPLATES)] for w in text.split()})
 
 
 def document_frequencies(docs: DataFrame, text_column: str = "text") -> dict[str, int]:
     """Texts that hold each word of the lexicon; one row for each word comes to the driver."""
-    own = F.array(*map(F.lit, lexicon()))
-    found = docs.select(F.explode(F.array_intersect(F.split(F.lower(docs[text_column]), _GAP), own)).alias("word"))
-    return {row.word: row.n for row in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
+    own = F.filter(F.split(F.lower(docs[text_column]), _GAP), lambda w: w.isin(lexicon()))
+    found = docs.select(F.explode(F.array_distinct(own)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return {row.word: row.n for row in found.collect()}
+
+
+def _cue(text: Column) -> Column:
+    lower = F.lower(text)
+    found = lower.contains("cc") & text.rlike("(?<![0-9A-Za-z])[cC][cC](?![0-9A-Za-z])")
+    for cue in _CUES:
+        found = lower.contains(cue) | found
+    return found
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, _GAP), lambda w: w != "")
 
 
 def _whole(words: Column, phrase: list[str], at: int = 0) -> Callable[[Column], Column]:
@@ -81,11 +88,8 @@ def _share(words: Column, template: list[str]) -> Callable[[Column], Column]:
 
 
 def _starts(words: Column, word: str, offset: int, size: int) -> Column:
-    """Where a template of ``size`` words may start, seen from one of its words."""
-    places = F.filter(
-        F.transform(words, lambda w, i: F.when(w == word, i - offset)), lambda x: x.isNotNull() & (x >= 0)
-    )
-    return F.filter(places, lambda x: x + size <= F.size(words))
+    """Where a phrase of ``size`` words may start, seen from one of its words."""
+    return F.filter(_starts_from(words, word, offset), lambda x: (x >= 0) & (x + size <= F.size(words)))
 
 
 def _rarest(phrase: list[str], counts: Mapping[str, int], n: int) -> list[tuple[str, int]]:
@@ -110,10 +114,11 @@ def licenses(
     """
     counts = document_frequencies(docs, text_column) if counts is None else counts
     rows = docs.select(docs[id_column].alias("doc_id"), F.coalesce(docs[text_column], F.lit("")).alias("text"))
+    text = F.col("text")
     rows = rows.select(
         "doc_id",
-        F.regexp_count("text", F.lit(_WORD)).alias("n_words"),
-        F.when(F.col("text").rlike(_CUE), _words(F.col("text"))).alias("words"),
+        F.size(_words(text)).alias("n_words"),
+        F.when(_cue(text), _words(F.translate(text, _UPPER, _LOWER))).alias("words"),
     )
     words = F.col("words")
     none = F.array().cast("array<int>")
