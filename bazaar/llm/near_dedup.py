@@ -8,7 +8,8 @@
    by the weighted Jaccard similarity of the whole texts.
 4. Members of a bucket that are still in different components are compared
    pairwise where the distances to the first member (a metric) and the samples
-   allow a similarity above the threshold.
+   allow a similarity above the threshold (a similarity at the threshold has
+   fewer samples in common than asked for with probability 0.001).
 5. Components of the verified links are the classes.
 
 The weight of a shingle in a text is its count times its inverse document
@@ -32,7 +33,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 FEATURES = 1 << 18
 BANDS, ROWS = 20, 5  # at a similarity of 0.8 a pair shares no band with probability 4e-4, at 0.9 with 1e-8
-_COMPARED = 64  # samples that estimate a similarity
 _DRAWS = 4096
 _LEVELS = 25  # of weight: up to eight, in eighths of an octave; heavier shingles are drawn like weight eight
 _HASH_BITS = np.uint64(44)
@@ -231,38 +231,19 @@ def near_duplicates(
     links = compared.where(F.col("similarity") >= similarity).select("a", "b")
     roots = components(links)
 
-    # members of a bucket that its first member does not join
-    placed = (
-        buckets.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
-        .withColumn("root", F.coalesce("root", "rep"))
-        .join(compared.select(F.col("a").alias("rep"), F.col("b").alias("head"), "similarity"), ["rep", "head"], "left")
-        .withColumn("far", 1 - F.coalesce("similarity", F.lit(1.0)))
-        .select("band", "bucket", "rep", "head", "root", "far")
-    )
-    placed = stored(placed, "placed")
-    heads = placed.where("rep = head").select("band", "bucket", F.col("root").alias("head_root"))
-    placed = placed.join(heads, ["band", "bucket"])
-    split = placed.where("root <> head_root").select("band", "bucket").distinct()
+    # Members of a bucket that its first member does not join: the most alike pairs first, since their
+    # links leave few components for the rest.
+    far = compared.select(F.col("a").alias("rep"), F.col("b").alias("head"), (1 - F.col("similarity")).alias("far"))
     sampled = reps.groupBy("id").agg(F.first("samples").alias("samples")).withColumnRenamed("id", "rep")
-    placed = placed.where("rep <> head").join(split, ["band", "bucket"], "left_semi").join(sampled, "rep")
-    placed = stored(placed, "unlike")
-    others = placed.where("root <> head_root").select(
-        "band", "bucket", F.col("rep").alias("x"), F.col("root").alias("x_root"), F.col("far").alias("x_far"),
-        F.col("samples").alias("x_samples"),
-    )
-    near = (
-        (others.band == placed.band) & (others.bucket == placed.bucket) & (F.col("x_root") != F.col("root"))
-        & ((F.col("root") == F.col("head_root")) | (F.col("x") < F.col("rep")))
-        & (F.abs(F.col("x_far") - F.col("far")) <= 1 - similarity + 1e-9)
-        & (_agreement("x_samples", "samples") >= int(_COMPARED * (similarity - 0.25)))
-    )
-    rest = others.join(placed, near).select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
-    rest = stored(rest.distinct(), "rest")
-    if rest.isEmpty():
-        every = links
-    else:
-        more = stored(_verified(rest, docs, levels).where(F.col("similarity") >= similarity), "more")
-        every = links.union(more.select("a", "b"))
+    every, high = links, BANDS * ROWS + 1
+    for least in (similarity, similarity - 0.13):
+        low = int(BANDS * ROWS * least)
+        rest = stored(_unlike(buckets, far, roots, sampled, 1 - similarity, low, high).distinct(), "rest")
+        if not rest.isEmpty():
+            more = stored(_verified(rest, docs, levels).where(F.col("similarity") >= similarity), "more")
+            every = every.union(more.select("a", "b"))
+            roots = components(every)
+        high = low
     roots = components(every.union(same))
     degree = (
         every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
@@ -279,11 +260,42 @@ def near_duplicates(
     )
 
 
+def _unlike(
+    buckets: DataFrame, far: DataFrame, roots: DataFrame, sampled: DataFrame, distance: float, low: int, high: int
+) -> DataFrame:
+    """Pairs of one bucket in different components that may be within a distance.
+
+    Both differ from the first member by distances that are no further apart
+    than ``distance`` (the similarity's complement is a metric), and share at
+    least ``low`` and fewer than ``high`` samples. The conditions are part of the join.
+    """
+    placed = (
+        buckets.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
+        .withColumn("root", F.coalesce("root", "rep"))
+        .join(far, ["rep", "head"], "left")
+    )
+    placed = stored(placed, "placed")
+    heads = placed.where("rep = head").select("band", "bucket", F.col("root").alias("head_root"))
+    placed = placed.where("rep <> head").join(heads, ["band", "bucket"])
+    split = placed.where("root <> head_root").select("band", "bucket").distinct()
+    placed = stored(placed.join(split, ["band", "bucket"], "left_semi").join(sampled, "rep"), "unlike")
+    others = placed.where("root <> head_root").select(
+        "band", "bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "root", "far", "samples")]
+    )
+    agreement = _agreement("x_samples", "samples")
+    near = (
+        (others.band == placed.band) & (others.bucket == placed.bucket) & (F.col("x_root") != F.col("root"))
+        & ((F.col("root") == F.col("head_root")) | (F.col("x_rep") < F.col("rep")))
+        & (F.abs(F.col("x_far") - F.col("far")) <= distance + 1e-9) & agreement.between(low, high - 1)
+    )
+    return others.join(placed, near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
+
+
 def _agreement(one: str, two: str):
-    """How many of the first samples two texts share."""
+    """How many samples two texts share."""
     part = [
         (F.expr(f"substring({one}, {4 * k + 1}, 4)") == F.expr(f"substring({two}, {4 * k + 1}, 4)")).cast("int")
-        for k in range(_COMPARED)
+        for k in range(BANDS * ROWS)
     ]
     total = part[0]
     for x in part[1:]:
