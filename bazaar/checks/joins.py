@@ -187,7 +187,7 @@ def seed_lookup(spark, d):
     "work_plan",
     """
 SELECT p_partkey, page, strftime(day, '%Y-%m-%d') AS day FROM part,
-  LATERAL (SELECT unnest(range(1, 1 + least(p_size, 5))) AS page),
+  LATERAL (SELECT unnest(range(1, 1 + p_size)) AS page),
   LATERAL (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-03', INTERVAL 1 DAY)) AS day)
 """,
 )
@@ -195,6 +195,6 @@ def work_plan(spark, d):
     days = F.sequence(
         F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date"), F.expr("interval 1 day")
     )
-    seed = table(spark, d, "part").select("p_partkey", F.least("p_size", F.lit(5)).cast("bigint").alias("pages"))
+    seed = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("bigint").alias("pages"))
     plan = Jn.work_plan(seed, F.lit(1).cast("bigint"), F.col("pages"), ["p_partkey", "page", "day"], days=days)
     return plan.orderBy("shuffle_order").select("p_partkey", "page", F.date_format("day", "yyyy-MM-dd").alias("day"))

@@ -17,7 +17,7 @@ def line_payloads(spark, d):
         F.split("text", "\n"),
         lambda line, i: F.struct(
             F.struct(
-                i.alias("itemid"), F.length(line).alias("price"), F.substring(line, 1, 12).alias("name"),
+                i.alias("itemid"), F.length(line).alias("price"), line.alias("name"),
                 F.split(line, " ").alias("options"),
             ).alias("item_basic")
         ),
@@ -55,7 +55,7 @@ def flatten_json(spark, d):
 @check(
     "explode_items",
     """
-SELECT doc_id, i - 1 AS itemid, CAST(length(lines[i]) AS BIGINT) AS price, substr(lines[i], 1, 12) AS name,
+SELECT doc_id, i - 1 AS itemid, CAST(length(lines[i]) AS BIGINT) AS price, lines[i] AS name,
   CAST(NULL AS VARCHAR) AS absent
 FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
   LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)

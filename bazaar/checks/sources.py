@@ -49,7 +49,7 @@ PREAMBLE = ["Laporan Iklan", "Nama Toko,toko", "Periode,01/01/2024 - 07/01/2024"
 def scan_preamble_csv(spark, d):
     path = work_folder(spark, "preamble-csv")
     preamble_lines(order_report(spark, d), PREAMBLE).write.text(path)
-    grid = reports.read_preamble_grid(spark, path, width=4)
+    grid = reports.read_preamble_grid(spark, path)
     return _typed(reports.grid_to_table(grid, reports.grid_header(grid, 6), 7, keep=()))
 
 

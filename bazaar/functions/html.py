@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 # without one.
 ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {
     f"&{name}": chr(code) for name, code in name2codepoint.items() if code < 256
-}
+} | {"&apos;": "'"}
 
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -31,15 +31,23 @@ VOID_TAGS = frozenset(
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters, in one pass: ``&amp;lt;`` gives ``&lt;``."""
+    """Character references to characters, in one pass: ``&amp;lt;`` gives ``&lt;``.
+
+    Numbers that are no character (zero, surrogates, beyond the last code point)
+    and unknown names stay as they are.
+    """
     names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
 
     def decoded(token: Column) -> Column:
-        code = F.regexp_extract(token, "^&#([0-9]{1,7});$", 1)
-        char = F.decode(F.unhex(F.lpad(F.conv(code, 10, 16), 8, "0")), "UTF-32")
+        decimal = F.regexp_extract(token, "^&#([0-9]{1,7});$", 1)
+        hexadecimal = F.regexp_extract(token, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
+        code = F.when(decimal != "", decimal).otherwise(F.conv(hexadecimal, 16, 10)).try_cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        safe = F.when(known, code).otherwise(F.lit(0x20))  # so that no evaluation can fail
+        char = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
         return (
             F.when(~F.startswith(token, F.lit("&")), token)
-            .when(F.startswith(token, F.lit("&#")), F.when(code != "", char).otherwise(token))
+            .when(F.startswith(token, F.lit("&#")), F.when(known, char).otherwise(token))
             .otherwise(F.coalesce(F.try_element_at(names, token), token))
         )
 

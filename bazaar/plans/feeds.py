@@ -214,15 +214,12 @@ FEEDS: dict[str, Feed] = {
 }
 
 
-def read(spark: SparkSession, feed: Feed, paths: list[str] | str, width: int = 100) -> DataFrame:
-    """Raw report rows: text columns under their printed headers, with file path.
-
-    ``width`` is the number of cells read from a line of a preamble file.
-    """
+def read(spark: SparkSession, feed: Feed, paths: list[str] | str) -> DataFrame:
+    """Raw report rows: text columns under their printed headers, with file path."""
     if feed.reader == "csv":
         return R.read_report_csv(spark, paths)
     if feed.reader == "csv_preamble":
-        grid = R.read_preamble_grid(spark, paths, width)
+        grid = R.read_preamble_grid(spark, paths)
     else:
         grid = read_workbook_grid(spark, paths, feed.sheet)
     return table_of(grid, feed)
@@ -245,7 +242,10 @@ def clean(df: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame:
     dated = [c for c in ("start_date", "end_date") if c in df.columns and feed.period]
     if feed.positional:
         body = df.drop(*dated)
-        names = [n for n in schema.fieldNames() if n not in dated][: len(body.columns)]
+        names = [n for n in schema.fieldNames() if n not in dated]
+        if len(body.columns) > len(names):
+            raise ValueError(f"the report has {len(body.columns)} columns, its contract names {len(names)}")
+        names = names[: len(body.columns)]
         named = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(body.columns, names)], *dated)
     else:
         named = Hd.rename_synonyms(df, feed.vocabulary, style=feed.headers)

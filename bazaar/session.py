@@ -56,6 +56,8 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir: the executors of a cluster need a folder that all of them see")
     application = spark.sparkContext.applicationId
     if application not in _own_root:
         _own_root[application] = tempfile.mkdtemp(prefix="bazaar-")

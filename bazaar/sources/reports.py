@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,16 +60,26 @@ def number_lines(spark: SparkSession, paths: list[str] | str, glob: str | None =
 
 
 def read_preamble_grid(
-    spark: SparkSession, paths: list[str] | str, width: int, sep: str = ",", glob: str | None = None
+    spark: SparkSession, paths: list[str] | str, sep: str = ",", glob: str | None = None
 ) -> DataFrame:
-    """Text reports as a grid: (path, sheet, row_no, cells)."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    row = F.from_csv("line", schema, {"sep": sep, "quote": '"', "escape": '"'})
+    """Text reports as a grid: (path, sheet, row_no, cells), with as many cells as a line has.
+
+    Quoted cells lose their quotes, doubled quotes count once; empty cells are NULL.
+    """
+    mark = re.escape(sep)
+    cell = rf'(?:^|{mark})("(?:[^"]|"")*"|[^{mark}]*)'
+    cells = F.transform(
+        F.regexp_extract_all("line", F.lit(cell), F.lit(1)),
+        lambda c: F.nullif(
+            F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c),
+            F.lit(""),
+        ),
+    )
     return number_lines(spark, paths, glob).select(
         "path",
         F.lit(None).cast("string").alias("sheet"),
         "row_no",
-        F.array(*[row.getField(f"c{i}") for i in range(width)]).alias("cells"),
+        cells.alias("cells"),
     )
 
 

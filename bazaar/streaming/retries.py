@@ -39,7 +39,7 @@ def next_retry_count(page: Column, start_page: Column, retry_count: Column, spec
     page, or when the message covers several categories."""
     moved = page != start_page
     if specs is not None:
-        moved = moved | (specs > 1)
+        moved = moved | F.coalesce(specs > 1, F.lit(False))
     return F.when(moved, 0).otherwise(retry_count)
 
 
@@ -50,7 +50,8 @@ def route_retries(failures: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
     counter is within the limit is sent again alone, counter raised; beyond it
     the message goes to the dead letters unchanged.
     """
-    count = next_retry_count(F.col("failed_page"), F.col("start_page"), F.col("retry_count"))
+    specs = F.json_array_length("category_spec") if "category_spec" in failures.columns else None
+    count = next_retry_count(F.col("failed_page"), F.col("start_page"), F.col("retry_count"), specs)
     again = count <= max_retries
     return failures.withColumns(
         {
@@ -62,9 +63,12 @@ def route_retries(failures: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
     )
 
 
-def write_routes(stream: DataFrame, column: str, sinks: dict[str, str], checkpoint: str) -> StreamingQuery:
+def write_routes(stream: DataFrame, column: str, sinks: dict[str, str], checkpoint: str, rest: str | None = None) -> StreamingQuery:
     """Rows to one folder per value of a column, everything available, exactly once.
 
+    Rows of any other value, or of none, go to ``rest`` (by default the folder
+    of the checkpoint's name with ``-rest``), so no row is lost.
+
     Each micro-batch goes to its own sub-folder, overwritten if the batch is run
     again after a failure, so a restart repeats no row.
     """
@@ -73,6 +77,8 @@ def write_routes(stream: DataFrame, column: str, sinks: dict[str, str], checkpoi
         batch.persist()
         for value, path in sinks.items():
             batch.filter(F.col(column) == value).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        others = batch.filter(~F.coalesce(F.col(column).isin(list(sinks)), F.lit(False)))
+        others.write.mode("overwrite").parquet(f"{rest or checkpoint.rstrip('/') + '-rest'}/batch={batch_id}")
         batch.unpersist()
 
     return (

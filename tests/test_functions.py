@@ -209,3 +209,16 @@ def test_card_pages(spark):
     )
     row = item_rows(spark.createDataFrame([(1, item)], "page_id bigint, html string"), ["page_id"]).first()
     assert (row.product_id, row.sold, row.item_rating, row.stock) == ("22", 1200, 4.9, None)
+
+
+def test_character_references_never_fail(spark):
+    from pyspark.sql import functions as F
+
+    from bazaar.functions.html import strip_tags
+
+    cases = {
+        "a&#39;b &#x27; &apos; &#x1F600;": "a'b ' ' \U0001f600",
+        "&#9999999; &#xD800; &#0; &#1114112; &#x110000; &nope;": "&#9999999; &#xD800; &#0; &#1114112; &#x110000; &nope;",
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "html string").select("html", strip_tags(F.col("html")).alias("t"))
+    assert {r.html: r.t for r in rows.collect()} == cases

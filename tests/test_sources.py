@@ -43,7 +43,7 @@ def test_preamble_files_of_one_type(spark, tmp_path, small_splits):
     for i in range(3):
         body = "".join(f'{i}{n},"nama, {n}"\n' for n in range(30))
         put(tmp_path, f"f{i}.csv", f"Judul\nPeriode,{i} Mei 2024 - 7 Mei 2024\nkode, nama \n{body}")
-    grid = reports.read_preamble_grid(spark, str(tmp_path), width=2)
+    grid = reports.read_preamble_grid(spark, str(tmp_path))
     assert reports.grid_header(grid, 2) == ["kode", "nama"]
     table = reports.grid_to_table(grid, ["kode", "nama"], 3)
     dated = reports.with_preamble_value(table, reports.preamble_value(grid, 1, 1, "period"))
@@ -57,7 +57,7 @@ def test_differing_headers_are_refused(spark, tmp_path):
     put(tmp_path, "a.csv", "x,y\n1,2\n")
     put(tmp_path, "b.csv", "x,z\n1,2\n")
     with pytest.raises(ValueError):
-        reports.grid_header(reports.read_preamble_grid(spark, str(tmp_path), 2), 0)
+        reports.grid_header(reports.read_preamble_grid(spark, str(tmp_path)), 0)
 
 
 def test_multi_line_records_are_found_by_looking(spark, tmp_path):
