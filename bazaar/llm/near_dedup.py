@@ -8,8 +8,10 @@
    by the weighted Jaccard similarity of the whole texts.
 4. Members of a bucket that are still in different components are compared
    pairwise where the distances to the first member (a metric) and the samples
-   allow a similarity above the threshold (a similarity at the threshold has
-   fewer samples in common than asked for with probability 0.001).
+   allow a similarity above the threshold. Texts that are left at this step get
+   more samples, since many of their pairs may lie close to the threshold (a
+   similarity at it has fewer samples in common than asked for with probability
+   0.001).
 5. Components of the verified links are the classes.
 
 The weight of a shingle in a text is its count times its inverse document
@@ -33,6 +35,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 FEATURES = 1 << 18
 BANDS, ROWS = 20, 5  # at a similarity of 0.8 a pair shares no band with probability 4e-4, at 0.9 with 1e-8
+FINE = 7 * 49  # samples of texts that stars of buckets leave apart
+_SIGMAS = 3.25  # standard deviations of the share of common samples
 _DRAWS = 4096
 _LEVELS = 25  # of weight: up to eight, in eighths of an octave; heavier shingles are drawn like weight eight
 _HASH_BITS = np.uint64(44)
@@ -46,16 +50,16 @@ def _uniform(stream: int, n: int) -> np.ndarray:
         return (kernels.mix(kernels.mix(x)) >> np.uint64(11)).astype(np.float64) / 2.0**53 + 1e-17
 
 
-def sample_tables() -> list[np.ndarray]:
-    """For each hash function: (order of the score, hash of the quantised weight) by weight level and draw.
+def sample_tables(count: int = BANDS * ROWS) -> list[np.ndarray]:
+    """For each of at least ``count`` hash functions: (order of the score, hash of the quantised weight) by weight level and draw.
 
     The scores are those of improved consistent weighted sampling: with r and c
     from Gamma(2, 1) and b uniform, t = floor(ln w / r + b), and the shingle
     with the least ln c - r (t - b + 1) is the sample, together with its t.
     """
-    if not _sample_tables:
+    if len(_sample_tables) < count:
         weight = np.log(2.0) * np.arange(_LEVELS)[:, None] / 8
-        for k in range(BANDS * ROWS):
+        for k in range(len(_sample_tables), count):
             u = [_uniform(5 * k + i, _DRAWS) for i in range(5)]
             r, c, b = -np.log(u[0] * u[1]), -np.log(u[2] * u[3]), u[4]
             t = np.floor(weight / r + b)
@@ -110,31 +114,67 @@ def idf_levels(docs: DataFrame) -> np.ndarray:
     return np.rint(8 * np.log2(1 + idf)).astype(np.uint8)
 
 
+def _drawn(
+    texts: np.ndarray, hashes: np.ndarray, counts: np.ndarray, level_of: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text's shingles begin, and its first ``n`` samples."""
+    tables = sample_tables(n)
+    level = level_of[_features(hashes)] + np.rint(8 * np.log2(counts))
+    offset = np.minimum(level, _LEVELS - 1).astype(np.int64) * _DRAWS
+    first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
+    samples = np.empty((len(first), n), np.uint32)
+    with np.errstate(over="ignore"):
+        odd = kernels.mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
+        spread = kernels.mix(hashes.copy())
+        for k in range(n):
+            own = spread * odd[k]
+            best = tables[k][(own >> np.uint64(52)).astype(np.int64) + offset]
+            own >>= np.uint64(8)
+            own &= np.uint64(0xFFFFFFFF)
+            best ^= own
+            samples[:, k] = np.minimum.reduceat(best, first) & np.uint64(0xFFFFFFFF)
+    return first, samples
+
+
+def _fine_samples(docs: DataFrame, ids: DataFrame, levels) -> DataFrame:
+    """``rep`` and ``fine``: seven bits of each of ``FINE`` samples, seven samples in a number; NULL for an id of several rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in kernels.slices(batch, "text", 500_000):
+                texts, hashes, counts = weighted_shingles(part.column(1))
+                if len(texts):
+                    first, samples = _drawn(texts, hashes, counts, levels.value, FINE)
+                    packed = np.zeros((len(first), FINE // 7, 8), np.uint8)
+                    packed[:, :, :7] = (samples & np.uint32(0x7F)).reshape(len(first), -1, 7)
+                    packed = packed.view(np.int64)[:, :, 0]
+                    bounds = pa.array(np.arange(len(first) + 1) * packed.shape[1], pa.int32())
+                    yield pa.record_batch(
+                        [
+                            part.column(0).take(pa.array(texts[first])),
+                            pa.ListArray.from_arrays(bounds, pa.array(packed.ravel())),
+                        ],
+                        names=["rep", "fine"],
+                    )
+
+    wanted = docs.join(ids, docs.id == ids.rep, "left_semi").select("id", "text")
+    return (
+        wanted.mapInArrow(run, "rep bigint, fine array<bigint>")
+        .groupBy("rep").agg(F.when(F.count("*") == 1, F.first("fine")).alias("fine"))
+    )
+
+
 def _signatures(docs: DataFrame, levels) -> DataFrame:
     """``id``, 128 bits of the words, and the samples of every text with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = sample_tables()
-        odd = kernels.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
         level_of = levels.value
         for batch in batches:
             for part in kernels.slices(batch, "text", 500_000):
                 texts, hashes, counts = weighted_shingles(part.column(1))
                 if not len(texts):
                     continue
-                level = level_of[_features(hashes)] + np.rint(8 * np.log2(counts))
-                offset = np.minimum(level, _LEVELS - 1).astype(np.int64) * _DRAWS
-                first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
-                samples = np.empty((len(first), BANDS * ROWS), np.uint32)
-                with np.errstate(over="ignore"):
-                    spread = kernels.mix(hashes.copy())
-                    for k in range(BANDS * ROWS):
-                        own = spread * odd[k]
-                        best = tables[k][(own >> np.uint64(52)).astype(np.int64) + offset]
-                        own >>= np.uint64(8)
-                        own &= np.uint64(0xFFFFFFFF)
-                        best ^= own
-                        samples[:, k] = np.minimum.reduceat(best, first) & np.uint64(0xFFFFFFFF)
+                first, samples = _drawn(texts, hashes, counts, level_of, BANDS * ROWS)
                 _, _, words, bounds = kernels.shingles(part.column(1), 1)
                 rows = texts[first]
                 with np.errstate(over="ignore"):
@@ -234,11 +274,16 @@ def near_duplicates(
     # Members of a bucket that its first member does not join: the most alike pairs first, since their
     # links leave few components for the rest.
     far = compared.select(F.col("a").alias("rep"), F.col("b").alias("head"), (1 - F.col("similarity")).alias("far"))
-    sampled = reps.groupBy("id").agg(F.first("samples").alias("samples")).withColumnRenamed("id", "rep")
-    every, high = links, BANDS * ROWS + 1
-    for least in (similarity, similarity - 0.13):
-        low = int(BANDS * ROWS * least)
-        rest = stored(_unlike(buckets, far, roots, sampled, 1 - similarity, low, high).distinct(), "rest")
+    every, high, sampled = links, FINE + 1, None
+    for below in (0, _SIGMAS):
+        low = int(_expected(FINE, similarity, below))
+        placed = stored(_apart(buckets, far, roots), "apart")
+        if sampled is None:  # a later pass has no other texts, since components only grow
+            ids = stored(placed.select("rep").distinct(), "apart-ids")
+            own = reps.withColumnRenamed("id", "rep").join(ids, "rep", "left_semi")
+            own = own.groupBy("rep").agg(F.when(F.count("*") == 1, F.first("samples")).alias("samples"))
+            sampled = stored(own.join(_fine_samples(docs, ids, levels), "rep", "left"), "sampled")
+        rest = stored(_unlike(placed.join(sampled, "rep"), similarity, low, high).distinct(), "rest")
         if not rest.isEmpty():
             more = stored(_verified(rest, docs, levels).where(F.col("similarity") >= similarity), "more")
             every = every.union(more.select("a", "b"))
@@ -260,15 +305,13 @@ def near_duplicates(
     )
 
 
-def _unlike(
-    buckets: DataFrame, far: DataFrame, roots: DataFrame, sampled: DataFrame, distance: float, low: int, high: int
-) -> DataFrame:
-    """Pairs of one bucket in different components that may be within a distance.
+def _expected(samples: int, similarity: float, sigmas: float) -> float:
+    """Common samples of a pair at the similarity, less some standard deviations."""
+    return samples * similarity - sigmas * (samples * similarity * (1 - similarity)) ** 0.5
 
-    Both differ from the first member by distances that are no further apart
-    than ``distance`` (the similarity's complement is a metric), and share at
-    least ``low`` and fewer than ``high`` samples. The conditions are part of the join.
-    """
+
+def _apart(buckets: DataFrame, far: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, other than the first, of buckets whose texts are in different components."""
     placed = (
         buckets.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
         .withColumn("root", F.coalesce("root", "rep"))
@@ -278,29 +321,51 @@ def _unlike(
     heads = placed.where("rep = head").select("band", "bucket", F.col("root").alias("head_root"))
     placed = placed.where("rep <> head").join(heads, ["band", "bucket"])
     split = placed.where("root <> head_root").select("band", "bucket").distinct()
-    placed = stored(placed.join(split, ["band", "bucket"], "left_semi").join(sampled, "rep"), "unlike")
+    return placed.join(split, ["band", "bucket"], "left_semi")
+
+
+def _unlike(placed: DataFrame, similarity: float, low: int, high: int) -> DataFrame:
+    """Pairs of one bucket in different components that may be as alike as asked.
+
+    Both differ from the first member by distances that are no further apart
+    than the similarity allows (its complement is a metric), share at least
+    ``low`` and fewer than ``high`` samples. An id of several texts has no
+    samples to judge by; its pairs come in the first pass. A pair that shares several buckets comes from the first of them only:
+    there it was compared already if one of it is the first member, and a bound
+    that fails in one bucket rules it out in all. The conditions are part of
+    the join.
+    """
+    placed = stored(placed, "unlike")
     others = placed.where("root <> head_root").select(
-        "band", "bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "root", "far", "samples")]
+        *[F.col(c).alias(f"x_{c}") for c in ("band", "bucket", "rep", "root", "far", "samples", "fine")]
     )
-    agreement = _agreement("x_samples", "samples")
+    agreed = _agreement("x_fine", "fine").between(low, high - 1)
     near = (
-        (others.band == placed.band) & (others.bucket == placed.bucket) & (F.col("x_root") != F.col("root"))
+        (F.col("x_band") == F.col("band")) & (F.col("x_bucket") == F.col("bucket")) & (F.col("x_root") != F.col("root"))
         & ((F.col("root") == F.col("head_root")) | (F.col("x_rep") < F.col("rep")))
-        & (F.abs(F.col("x_far") - F.col("far")) <= distance + 1e-9) & agreement.between(low, high - 1)
+        & (F.abs(F.col("x_far") - F.col("far")) <= 1 - similarity + 1e-9)
+        & ~F.coalesce(_shares_earlier_band("x_samples", "samples", "x_band"), F.lit(False))
+        & F.coalesce(agreed, F.lit(high > FINE))
     )
     return others.join(placed, near).select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
 
 
+def _shares_earlier_band(one: str, two: str, band: str):
+    """Whether two texts share a bucket in a band before ``band``."""
+    part, shared = 4 * ROWS, F.lit(False)
+    for i in range(BANDS - 1):
+        same = F.expr(f"substring({one}, {i * part + 1}, {part})") == F.expr(f"substring({two}, {i * part + 1}, {part})")
+        shared = shared | ((F.col(band) > i) & same)
+    return shared
+
+
 def _agreement(one: str, two: str):
-    """How many samples two texts share."""
-    part = [
-        (F.expr(f"substring({one}, {4 * k + 1}, 4)") == F.expr(f"substring({two}, {4 * k + 1}, 4)")).cast("int")
-        for k in range(BANDS * ROWS)
-    ]
-    total = part[0]
-    for x in part[1:]:
-        total = total + x
-    return total
+    """How many fine samples two texts share: seven bits each, so adding 0x7F carries where they differ."""
+    differ = F.lit(0)
+    for i in range(FINE // 7):
+        x = F.col(one)[i].bitwiseXOR(F.col(two)[i]) + F.lit(0x7F7F7F7F7F7F7F)
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x80808080808080)))
+    return F.lit(FINE) - differ
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text"):
