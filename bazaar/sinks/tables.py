@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from bazaar.operators.dedupe import dedupe
 from bazaar.operators.upsert import one_per_key, upsert
 
-# Partition values handled as literals; a bound on driver memory, not on results.
-MAX_LISTED = 10000
-
 GRAINS = {"DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
 
 
@@ -156,12 +153,16 @@ def merge_into(
     size), then the merged rows, so the target is never read and overwritten in
     one job. A load that failed goes on from what it stored, and a published
     load is not repeated: the call can be repeated freely with one staging name.
+    Once published, only marks of the load stay below ``staging``.
 
     With ``partition`` only partitions that the source names or that hold one of
     its keys are rewritten; a partition whose rows all moved away is removed.
+    Partition values have the source's type, so texts such as ``007`` stay as
+    they are; an empty text becomes NULL, as in every partitioned table.
     """
     rows_at, merged_at, touched_at, done = (f"{staging}/{n}" for n in ("source", "merged", "touched", "published"))
     if _complete(spark, done):
+        _remove(spark, rows_at, merged_at, touched_at)
         return False
     if not _complete(spark, rows_at):
         one_per_key(source, keys, dedupe_order, null_safe, keep).write.mode("overwrite").parquet(rows_at)
@@ -171,10 +172,11 @@ def merge_into(
         _mark(spark, f"{staging}/first")
         _publish(rows, path, partition)
         _mark(spark, done)
+        _remove(spark, rows_at)
         return True
 
     if not _complete(spark, merged_at):
-        target = spark.read.parquet(path)
+        target = _stored_table(spark, path, partition, source.schema)
         if partition:
             _touched(target, rows, keys, partition, null_safe).write.mode("overwrite").parquet(touched_at)
             target = _in_partitions(target, spark.read.parquet(touched_at), partition)
@@ -184,9 +186,25 @@ def merge_into(
     if partition:
         _drop_emptied(spark, path, partition, spark.read.parquet(touched_at), merged)
     _mark(spark, done)
+    _remove(spark, rows_at, merged_at, touched_at)
     return True
 
 
+def _stored_table(spark: SparkSession, path: str, partition: str | None, source: T.StructType) -> DataFrame:
+    """The table, its partition column in the source's type and not in one guessed from folder names."""
+    table = spark.read.parquet(path)
+    if not partition:
+        return table
+    fields = [T.StructField(f.name, source[partition].dataType if f.name == partition else f.dataType) for f in table.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _remove(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        jvm_path, fs = _fs(spark, path)
+        fs.delete(jvm_path, True)
+
+
 def _complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
@@ -214,16 +232,13 @@ def _touched(target: DataFrame, rows: DataFrame, keys: list[str], partition: str
 
 
 def _in_partitions(target: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
-    """Rows of the touched partitions, found by their folders.
-
-    Partition values are few; as literals they prune the scan before it starts.
-    Past ``MAX_LISTED`` a semi join does it.
-    """
-    values = [row[0] for row in touched.limit(MAX_LISTED + 1).collect()]
-    if len(values) > MAX_LISTED:
-        return target.join(touched, target[partition].eqNullSafe(touched[partition]), "left_semi")
-    named = F.col(partition).isin([v for v in values if v is not None])
-    return target.filter(named | F.col(partition).isNull() if None in values else named)
+    """Rows of the touched partitions: folders outside their span are pruned, a semi join picks the rest."""
+    value = F.col(partition)
+    low, high, nulls = touched.agg(F.min(value), F.max(value), F.bool_or(value.isNull())).first()
+    span = F.lit(False) if low is None else value.between(F.lit(low), F.lit(high))
+    if nulls:
+        span = span | value.isNull()
+    return target.filter(span).join(touched, target[partition].eqNullSafe(touched[partition]), "left_semi")
 
 
 def _same(keys: list[str], target: DataFrame, source: DataFrame, null_safe: bool) -> Column:
@@ -239,10 +254,9 @@ def _drop_emptied(spark: SparkSession, path: str, partition: str, touched: DataF
     """Remove partition folders that kept no row (a handful at most: keys that moved)."""
     left = staged.select(partition).distinct()
     emptied = touched.join(left, touched[partition].eqNullSafe(left[partition]), "left_anti")
-    for row in emptied.toLocalIterator():
-        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
-        jvm_path, fs = _fs(spark, f"{path}/{partition}={value}")
-        fs.delete(jvm_path, True)
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for row in emptied.select(F.col(partition).cast("string")).toLocalIterator():
+        _remove(spark, f"{path}/{folder(partition, row[0])}")
 
 
 def _mark(spark: SparkSession, path: str) -> None:

@@ -90,9 +90,20 @@ def test_create_deduped_is_day_partitioned(spark, tmp_path):
     assert row.v == "old" and str(row.part) == "2024-01-01"
 
 
-@pytest.mark.parametrize("listed", [10000, 1])
-def test_partition_in_the_key_and_many_partitions(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(K, "MAX_LISTED", listed)
+def test_partition_texts_that_look_like_numbers_or_need_escapes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [(1, "007", 0), (2, "x:y", 0), (3, None, 0), (4, "a b/c", 0), (5, "7", 0)]
+    spark.createDataFrame(first, "k int, p string, v int").write.partitionBy("p").parquet(path)
+    source = [(1, "007", 1), (2, "7", 1), (3, "x:z", 1), (4, "x:y", 1)]
+    K.merge_into(
+        spark, spark.createDataFrame(source, "k int, p string, v int"), path, ["k"], str(tmp_path / "s"), partition="p"
+    )
+    got = spark.read.schema("k int, v int, p string").parquet(path).select("k", "p", "v")
+    assert rows(got) == sorted(map(repr, [*source, (5, "7", 0)]))
+    assert sorted(os.listdir(tmp_path / "s")) == ["published"]
+
+
+def test_partition_in_the_key_and_many_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     target = [(i, f"p{i % 6}", 0) for i in range(30)]
     spark.createDataFrame(target, "k int, p string, v int").write.partitionBy("p").parquet(path)
