@@ -13,25 +13,32 @@ from pyspark.sql.streaming import StreamingQuery
 MESSAGE_SCHEMA = (
     "marketplace string, job_type string, page_type string, start_page int, end_page int, "
     "bucket_name string, base_path string, run_date string, target_table string, "
-    "schema_path string, retry_count int"
+    "schema_path string, retry_count int, category_spec string, shop_spec string"
 )
 MAX_RETRIES = 3
 
 
 def read_retry_stream(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
-    """(value): message text of a topic, or of a folder of message files.
+    """(value, topic): message text of a topic, or of a folder of message files (topic NULL).
 
     For a topic give ``subscribe``, ``kafka.bootstrap.servers`` and
     ``startingOffsets``; the consumer group is replaced by the query's
     checkpoint. For files use ``fmt="text"`` and ``path``.
     """
-    return spark.readStream.format(fmt).options(**options).load().select(F.col("value").cast("string"))
+    read = spark.readStream.format(fmt).options(**options).load()
+    topic = F.col("topic") if "topic" in read.columns else F.lit(None)
+    return read.select(F.col("value").cast("string"), topic.cast("string").alias("topic"))
 
 
 def parse_retry_messages(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Message columns, and the raw text of those that do not parse in ``_corrupt_record``."""
+    """Message columns, and the raw text of those that do not parse in ``_corrupt_record``.
+
+    The category and shop specifications stay JSON text. The topic decides the
+    kind of job, so it is kept where the input has it.
+    """
     schema = f"{MESSAGE_SCHEMA}, _corrupt_record string"
-    return raw.select(F.from_json(value, schema, {"mode": "PERMISSIVE"}).alias("m")).select("m.*")
+    kept = ["topic"] if "topic" in raw.columns else []
+    return raw.select(F.from_json(value, schema, {"mode": "PERMISSIVE"}).alias("m"), *kept).select("m.*", *kept)
 
 
 def next_retry_count(page: Column, start_page: Column, retry_count: Column, specs: Column | None = None) -> Column:
