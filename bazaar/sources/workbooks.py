@@ -7,6 +7,7 @@ the standard library's zip and XML readers. The format itself bounds a sheet to
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -20,6 +21,10 @@ BATCH_ROWS = 4096
 GRID_SCHEMA = "path string, sheet string, row_no bigint, cells array<string>"
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+#: Fixed values of the format: built-in number formats of dates and times, marks of date codes, and what is none.
+_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+_DATE_MARK = re.compile("[ymdhs]", re.IGNORECASE)
+_NO_DATE_MARK = re.compile(r'"[^"]*"|\\.|_.|\[(?![hms]+\])[^\]]*\]|general', re.IGNORECASE)
 
 
 def _column_index(reference: str) -> int:
@@ -35,11 +40,50 @@ def _shared_texts(book: zipfile.ZipFile) -> list[str]:
     texts = []
     for _, node in ElementTree.iterparse(book.open("xl/sharedStrings.xml")):
         if node.tag == f"{_MAIN}si":
-            texts.append("".join(t.text or "" for t in node.iter(f"{_MAIN}t")))
+            texts.append(_plain_text(node))
             node.clear()
     return texts
 
 
+def _plain_text(node: ElementTree.Element) -> str:
+    """Text of a string item: its own and that of its runs, not its phonetic guides."""
+    parts = [node.findtext(f"{_MAIN}t") or ""]
+    parts += [run.findtext(f"{_MAIN}t") or "" for run in node.iter(f"{_MAIN}r")]
+    return "".join(parts)
+
+
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Cell styles that show a number as a date or time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    styles = ElementTree.fromstring(book.read("xl/styles.xml"))
+    codes = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in styles.iter(f"{_MAIN}numFmt")}
+    own = {n for n, code in codes.items() if _DATE_MARK.search(_NO_DATE_MARK.sub("", code))}
+    cells = styles.find(f"{_MAIN}cellXfs")
+    formats = [int(x.get("numFmtId") or 0) for x in cells] if cells is not None else []
+    return {i for i, n in enumerate(formats) if n in own or (n in _DATE_FORMATS and n not in codes)}
+
+
+def _counts_from_1904(book: zipfile.ZipFile) -> bool:
+    settings = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{_MAIN}workbookPr")
+    return settings is not None and settings.get("date1904") in ("1", "true")
+
+
+def _date_text(value: str, from_1904: bool) -> str:
+    """ISO text of a day number; a number below one is a time of day, no date's number stays as it is."""
+    try:
+        number = float(value)
+        seconds = round(number * 86400)
+        if 0 <= number < 1:
+            return str(dt.time(seconds // 3600 % 24, seconds // 60 % 60, seconds % 60))
+        # The 1900 calendar counts a 29th of February that was none: days before it are one ahead.
+        start = dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 31 if number < 60 else 30)
+        moment = start + dt.timedelta(seconds=seconds)
+    except (ValueError, OverflowError):
+        return value
+    return str(moment) if seconds % 86400 else str(moment.date())
+
+
 def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     target = {r.get("Id"): r.get("Target") for r in links}
@@ -47,12 +91,16 @@ def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     return [(s.get("name"), "xl/" + target[s.get(_REL)].removeprefix("/xl/")) for s in listed]
 
 
-def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
+def _cell_text(cell: ElementTree.Element, shared: list[str], dates: set[int], from_1904: bool) -> str | None:
     if cell.get("t") == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
+        return "".join(_plain_text(x) for x in cell.iter(f"{_MAIN}is"))
     value = cell.findtext(f"{_MAIN}v")
-    if value is None:
+    if value is None or cell.get("t") == "e":
         return None
+    if cell.get("t") == "d":
+        return value.replace("T", " ")
+    if cell.get("t", "n") == "n" and int(cell.get("s") or 0) in dates:
+        return _date_text(value, from_1904)
     if cell.get("t") == "s":
         return shared[int(value)]
     if cell.get("t") == "b":
@@ -61,7 +109,7 @@ def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
 
 
 def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[tuple[int, list]]:
-    position = 0
+    position, dates, from_1904 = 0, _date_styles(book), _counts_from_1904(book)
     for _, node in ElementTree.iterparse(book.open(part)):
         if node.tag != f"{_MAIN}row":
             continue
@@ -70,7 +118,7 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator
         for cell in node.iter(f"{_MAIN}c"):
             at = _column_index(cell.get("r")) if cell.get("r") else len(cells)
             cells += [None] * (at + 1 - len(cells))
-            cells[at] = _cell_text(cell, shared)
+            cells[at] = _cell_text(cell, shared, dates, from_1904)
         node.clear()
         yield position - 1, cells
 

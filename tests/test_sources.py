@@ -1,4 +1,6 @@
+import io
 import os
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,9 +87,6 @@ def test_workbooks(spark, tmp_path):
 
 
 def test_workbook_cell_kinds(spark, tmp_path):
-    import io
-    import zipfile
-
     book = workbook({"S": [["a"]]})
     out = io.BytesIO()
     with zipfile.ZipFile(io.BytesIO(book)) as old, zipfile.ZipFile(out, "w") as new:
@@ -107,6 +106,25 @@ def test_workbook_cell_kinds(spark, tmp_path):
     assert first.cells[1] == "ab" and first.cells[3] == "1.5" and first.cells[26] == "true" and first.cells[0] is None
 
 
+def test_workbook_dates():
+    from bazaar.sources import workbooks as W
+
+    assert W._date_text("45139", False) == "2023-08-01"
+    assert W._date_text("45139.5", False) == "2023-08-01 12:00:00"
+    assert W._date_text("0.25", False) == "06:00:00" and W._date_text("1", False) == "1900-01-01"
+    assert W._date_text("1e12", False) == "1e12" and W._date_text("x", False) == "x"
+    assert W._date_text("43677", True) == "2023-08-01"
+    out = io.BytesIO()
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    codes = ["dd/mm/yyyy", '0.0 "days"', "[Red]0", "[h]:mm", "General"]
+    with zipfile.ZipFile(out, "w") as book:
+        listed = "".join(f"<numFmt numFmtId='{164 + i}' formatCode='{c}'/>" for i, c in enumerate(codes))
+        used = "".join(f'<xf numFmtId="{n}"/>' for n in (0, 14, 164, 165, 166, 167, 168))
+        book.writestr("xl/styles.xml", f"<styleSheet {main}><numFmts>{listed}</numFmts><cellXfs>{used}</cellXfs></styleSheet>")
+    with zipfile.ZipFile(out) as book:
+        assert W._date_styles(book) == {1, 2, 5}
+
+
 def test_payload_files(spark, tmp_path):
     put(tmp_path / "d", "a.json", '{\n "k": 1\n}')
     put(tmp_path / "d", "b.json", "not json")
