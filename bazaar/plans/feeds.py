@@ -32,7 +32,12 @@ class Feed:
     ``reader`` is csv, csv_preamble or grid; ``header_row``, ``skip_rows`` (rows
     between header and data) and ``sheet`` place the table in a grid.
     ``headers`` is a header style, ``positional`` takes names from the contract
-    instead. ``sums`` and ``remainders`` derive measures from contract columns.
+    instead. ``expected`` lists a positional report's headers in the contract's
+    order (the caller's list, by ``dataclasses.replace``): columns are found by
+    them, ``optional`` ones may be absent, any other difference is refused.
+    ``dropped`` headers have no contract column. ``one_line`` and ``first_line``
+    name contract columns whose line breaks become blanks, in the second case
+    with the words after them. ``sums`` and ``remainders`` derive measures from contract columns.
     ``invalid`` says what a bad number becomes: null or zero. ``period`` places
     the report's date range: (row, column, date layout, separator, prefix).
     ``load`` is append, merge (NULL keys match) or merge_strict.
@@ -40,11 +45,15 @@ class Feed:
 
     reader: str = "grid"
     header_row: int = 0
-    sheet: str | int | None = None
+    sheet: str | int = 0
     headers: str = "words"
     vocabulary: dict[str, str] = field(default_factory=dict)
     renames: dict[str, str] = field(default_factory=dict)
     positional: bool = False
+    expected: tuple[str, ...] = ()
+    dropped: tuple[str, ...] = ()
+    one_line: tuple[str, ...] = ()
+    first_line: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
     sentinels: tuple[str, ...] = X.MISSING_WORDS
     money: tuple[str, ...] = ()
@@ -156,7 +165,8 @@ FEEDS: dict[str, Feed] = {
         },
     ),
     "sales": Feed(
-        sheet="Laporan Penjualan", header_row=4, headers="plain",
+        sheet="Laporan Penjualan", header_row=4, headers="plain", positional=True, dropped=("nomor",),
+        one_line=("buyer_address",), first_line=("buyer_name",),
         optional=(
             "harga_satuan_bundling_idr", "gudang_pengiriman", "nama_bundling",
             "jumlah_produk_yang_dikurangkan", "total_pengurangan_idr",
@@ -239,9 +249,14 @@ def table_of(grid: DataFrame, feed: Feed) -> DataFrame:
 
 def clean(df: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame:
     """Columns under contract names; values stay text until the contract applies."""
+    if feed.dropped and not feed.expected:
+        raise ValueError("give the report's headers: dataclasses.replace(feed, expected=...)")
     dated = [c for c in ("start_date", "end_date") if c in df.columns and feed.period]
     if feed.positional:
         body = df.drop(*dated)
+        if feed.expected:
+            df = _in_order(Hd.normalize_headers(df, feed.headers), feed, dated)
+            body = df.drop(*dated)
         names = [n for n in schema.fieldNames() if n not in dated]
         if len(body.columns) > len(names):
             raise ValueError(f"the report has {len(body.columns)} columns, its contract names {len(names)}")
@@ -250,7 +265,21 @@ def clean(df: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame:
     else:
         named = Hd.rename_synonyms(df, feed.vocabulary, style=feed.headers)
     named = named.withColumnsRenamed(feed.renames)
-    return C.add_if_missing(named, {n: "string" for n in feed.optional})
+    lines = {n: X.one_line(F.col(n)) for n in feed.one_line if n in named.columns}
+    lines |= {n: X.drop_second_line_words(F.col(n)) for n in feed.first_line if n in named.columns}
+    named = named.withColumns(lines) if lines else named
+    return named if feed.positional else C.add_if_missing(named, {n: "string" for n in feed.optional})
+
+
+def _in_order(df: DataFrame, feed: Feed, dated: list[str]) -> DataFrame:
+    """The columns a positional report is expected to have, in that order, without the dropped ones."""
+    have = [c for c in df.columns if c not in dated]
+    lost = [c for c in feed.expected if c not in have and c not in feed.optional]
+    surplus = [c for c in have if c not in feed.expected]
+    if lost or surplus:
+        raise ValueError(f"the report lacks {lost} and has unknown {surplus}")
+    wanted = [c for c in feed.expected if c not in feed.dropped]
+    return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in wanted], *dated)
 
 
 def _typed(name: str, have: T.DataType | None, want: T.DataType, feed: Feed) -> Column:
@@ -285,6 +314,9 @@ def shape(df: DataFrame, feed: Feed, schema: T.StructType, **tags: object) -> Da
     """Raw report rows to contract rows; ``tags`` add store, folder or load time."""
     named = C.tag(clean(df, feed, schema), **tags)
     have = {f.name: f.dataType for f in named.schema.fields}
+    own = [k for k in feed.keys if k not in tags]
+    if own and not any(k in have for k in own):  # all rows would be merged into one
+        raise ValueError(f"the report has none of {own}, by which its rows are merged")
     typed = named.select(*[_typed(f.name, have.get(f.name), f.dataType, feed).alias(f.name) for f in schema.fields])
     kinds = {f.name: f.dataType for f in schema.fields}
     derived = {n: N.total(*[F.col(p) for p in parts]).cast(kinds[n]) for n, parts in feed.sums.items()}

@@ -1,5 +1,7 @@
+import dataclasses
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from bazaar.checks.fixtures import workbook
@@ -99,6 +101,37 @@ def test_zero_on_error_feed_and_preamble_ads(spark, tmp_path):
     assert tuple(Fd.shape(Fd.read(spark, ads, str(tmp_path / "b")), ads, schema).first()) == ("b", 5.0)
 
 
+def test_sales_keep_their_rows(spark, tmp_path):
+    heads = ["Nomor", "Nomor Invoice", "Nama Produk", "Harga Jual (IDR)", "Nama Pembeli", "Alamat", "Nama Bundling"]
+    names = ("nomor", "nomor_invoice", "nama_produk", "harga_jual_idr", "nama_pembeli", "alamat", "nama_bundling")
+    feed = dataclasses.replace(Fd.FEEDS["sales"], expected=names)
+    schema = contract({"invoice_number": "STRING", "sku_name": "STRING", "selling_price": "INTEGER", "buyer_name": "STRING",
+                       "buyer_address": "STRING", "bundle": "STRING", "folder": "STRING", "upload_tstamp": "TIMESTAMP"})
+    body = [["1", "i1", "s", "10", "Budi\nBeli Lagi", "Jl. A\nBogor"], ["2", "i2", "s", "20", "Ani", "x"], ["3", "i3", "t", "5", None, None]]
+
+    def loaded(name, head, rows):
+        put(tmp_path / name, "r.xlsx", workbook({"Lain": [["x"]], "Laporan Penjualan": [[], [], [], [], head, *rows]}))
+        stamp = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+        raw = Fd.read(spark, feed, str(tmp_path / name))
+        return Fd.shape(raw, feed, schema, folder="f", upload_tstamp=stamp)
+
+    rows = loaded("short", heads[:-1], body)  # without the optional column
+    Fd.load(spark, rows, feed, str(tmp_path / "t"), str(tmp_path / "s"))
+    got = spark.read.parquet(str(tmp_path / "t")).orderBy("invoice_number").collect()
+    assert [(r.invoice_number, r.selling_price, r.bundle) for r in got] == [("i1", 10, None), ("i2", 20, None), ("i3", 5, None)]
+    assert (got[0].buyer_name, got[0].buyer_address) == ("Budi ", "Jl. A Bogor")
+    with pytest.raises(ValueError, match="unknown"):
+        loaded("more", [*heads, "Baru"], [[*r, None, "x"] for r in body])
+    with pytest.raises(ValueError, match="lacks"):
+        loaded("less", heads[:2], [r[:2] for r in body])
+
+
+def test_a_report_without_a_merge_key_is_refused(spark):
+    feed = Fd.FEEDS["item_orders"]
+    with pytest.raises(ValueError, match="order_item_id"):
+        Fd.shape(spark.createDataFrame([("1",)], "other string"), feed, contract({"order_item_id": "STRING"}), store_name="x")
+
+
 def docs(spark, *texts):
     return spark.createDataFrame([(t,) for t in texts], "payload string")
 
