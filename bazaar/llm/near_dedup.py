@@ -51,11 +51,12 @@ def _uniform(stream: int, n: int) -> np.ndarray:
 
 
 def sample_tables(count: int = BANDS * ROWS) -> list[np.ndarray]:
-    """For each of at least ``count`` hash functions: (order of the score, hash of the quantised weight) by weight level and draw.
+    """For each of at least ``count`` hash functions: the order of the score by weight level and draw.
 
     The scores are those of improved consistent weighted sampling: with r and c
     from Gamma(2, 1) and b uniform, t = floor(ln w / r + b), and the shingle
-    with the least ln c - r (t - b + 1) is the sample, together with its t.
+    with the least ln c - r (t - b + 1) is the sample, together with its t,
+    which the score of a draw determines.
     """
     if len(_sample_tables) < count:
         weight = np.log(2.0) * np.arange(_LEVELS)[:, None] / 8
@@ -64,8 +65,7 @@ def sample_tables(count: int = BANDS * ROWS) -> list[np.ndarray]:
             r, c, b = -np.log(u[0] * u[1]), -np.log(u[2] * u[3]), u[4]
             t = np.floor(weight / r + b)
             score = (np.log(c) - r * (t - b + 1) + 256).astype(np.float32)
-            low = kernels.mix((t.astype(np.int64) + 1000).astype(np.uint64) + np.uint64(k << 32)) & np.uint64(0xFFFFFFFF)
-            _sample_tables.append((score.view(np.uint32).astype(np.uint64) << np.uint64(32) | low).ravel())
+            _sample_tables.append(score.view(np.uint32).ravel())
     return _sample_tables
 
 
@@ -123,16 +123,16 @@ def _drawn(
     offset = np.minimum(level, _LEVELS - 1).astype(np.int64) * _DRAWS
     first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
     samples = np.empty((len(first), n), np.uint32)
+    halves = np.empty((len(hashes), 2), "<u4")  # of the number to minimise: the shingle's own hash below its score
+    whole = halves.view("<u8")[:, 0]
     with np.errstate(over="ignore"):
         odd = kernels.mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
         spread = kernels.mix(hashes.copy())
         for k in range(n):
             own = spread * odd[k]
-            best = tables[k][(own >> np.uint64(52)).astype(np.int64) + offset]
-            own >>= np.uint64(8)
-            own &= np.uint64(0xFFFFFFFF)
-            best ^= own
-            samples[:, k] = np.minimum.reduceat(best, first) & np.uint64(0xFFFFFFFF)
+            halves[:, 1] = tables[k][(own >> np.uint64(52)).astype(np.int64) + offset]
+            halves[:, 0] = own >> np.uint64(8)
+            samples[:, k] = kernels.mix(np.minimum.reduceat(whole, first)) & np.uint64(0xFFFFFFFF)
     return first, samples
 
 
