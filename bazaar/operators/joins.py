@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 from bazaar.operators.dedupe import first_by_ordinal
 
 
-def left_join_fanout(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left equi join in which repeated right rows fan out.
+def left_join_fanout(left: DataFrame, right: DataFrame, keys: list[str], hot_right: bool = False) -> DataFrame:
+    """Left equi join in which repeated right rows fan out; each side is read once.
 
-    Written as inner join plus unmatched rows: AQE can split a hot key on either
-    side of an inner join but not on the right side of an outer one, and the
-    unmatched part needs only the distinct right keys.
+    AQE can split a hot key on the left side. For a key known to be hot on the
+    right, ``hot_right`` asks for an inner join, which can be split on either
+    side, plus the unmatched rows; both sides are read twice for it. Columns
+    other than the keys may not share a name.
     """
+    clash = sorted(set(left.columns) & set(right.columns) - set(keys))
+    if clash:
+        raise ValueError(f"both sides have {clash}; rename them on one side")
+    if not hot_right:
+        return left.join(right, keys, "left")
     matched = left.join(right, keys, "inner")
     lonely = left.join(right.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)

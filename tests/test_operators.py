@@ -184,8 +184,12 @@ def test_ranking_limits_rows_before_the_shuffle(spark, sf):
 def test_left_join_keeps_unmatched_and_null_keys(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, l string")
     right = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "k int, r string")
-    want = left.join(right, ["k"], "left")
-    assert rows(Jn.left_join_fanout(left, right, ["k"])) == rows(want)
+    want = [(1, "a", "x"), (1, "a", "y"), (2, "b", None), (None, "c", None)]
+    for hot_right in (False, True):
+        got = Jn.left_join_fanout(left, right, ["k"], hot_right)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(want, key=str)
+    with pytest.raises(ValueError, match="rename"):
+        Jn.left_join_fanout(left, right.withColumnRenamed("r", "l"), ["k"])
 
 
 def test_flag_never_repeats_rows(spark):
