@@ -13,6 +13,7 @@ from bazaar.llm import (
     decontaminate,
     knn,
     licenses,
+    line_dedup,
     near_dedup,
     pii,
     quality,
@@ -237,3 +238,22 @@ def training_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     training_order.materialise(table(spark, sf_dir, "documents"), path, ORDER_KEY)
     found = training_order.sequences(spark, path)
     return found.select("slot", "doc_id", "part", "n_tokens", "shard", "at", F.crc32("tokens").alias("crc32"))
+
+
+@query(
+    "op13_line_dedup",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT r, unnest(range(len(lines))) AS i, unnest(lines) AS line FROM d),
+    k AS (SELECT r, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    bad AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+    kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM k WHERE key NOT IN (SELECT key FROM bad) GROUP BY r)
+    SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)
+    """,
+)
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
