@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.llm import (
+    alignment,
     bpe,
     chat,
     decontaminate,
@@ -24,8 +25,8 @@ from bazaar.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-#: A tokenizer file for a run without the public_tokenizers package.
-TOKENIZER_FILE = "/opt/tokenizers/word_bpe_49k.json"
+#: The folder of tokenizer files for a run without the public_tokenizers package.
+TOKENIZER_FOLDER = "/opt/tokenizers"
 #: The key of the pseudonyms and of the training order in these queries; a deployment gives its own.
 KEY = b"bazaar example key"
 ORDER_KEY = 20_240_229
@@ -50,12 +51,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_file() -> str:
+def tokenizer_path(name: str) -> str:
     try:
         import public_tokenizers
     except ImportError:
-        return TOKENIZER_FILE
-    return public_tokenizers.path("word_bpe_49k.json")
+        return f"{TOKENIZER_FOLDER}/{name}"
+    return public_tokenizers.path(name)
+
+
+def tokenizer_file() -> str:
+    return tokenizer_path("word_bpe_49k.json")
 
 
 @query("op1_near_duplicates")
@@ -257,3 +262,9 @@ def training_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.link_statistics(table(spark, sf_dir, "documents"), *files)

@@ -45,16 +45,16 @@ def made(seed):
     return [(*row, 1, "k", 2, 3) for row in rows]
 
 
-@pytest.mark.parametrize("broadcast_keys", [line_dedup.BROADCAST_KEYS, 0])
-@pytest.mark.parametrize("keep_first", [False, True])
-@pytest.mark.parametrize("bits", [1 << 20, 64])
-def test_against_plain(spark, broadcast_keys, keep_first, bits):
+@pytest.mark.parametrize(
+    "broadcast_keys, keep_first, bits, documents, least",
+    [(line_dedup.BROADCAST_KEYS, False, 1 << 20, 10, 1), (0, False, 64, 10, 1), (line_dedup.BROADCAST_KEYS, True, 64, 2, 3), (0, True, 1 << 20, 2, 3)],
+)
+def test_against_plain(spark, broadcast_keys, keep_first, bits, documents, least):
     rows = made(1)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    for documents, least in ((10, 1), (2, 3)):
-        found = line_dedup.without_repeated_lines(docs, documents, least, keep_first, bits, broadcast_keys)
-        assert found.columns == ["doc_id", "text", "n_lines", "n_dropped"]
-        assert sorted(map(tuple, found.collect()), key=repr) == plain(rows, documents, least, keep_first)
+    found = line_dedup.without_repeated_lines(docs, documents, least, keep_first, bits, broadcast_keys)
+    assert found.columns == ["doc_id", "text", "n_lines", "n_dropped"]
+    assert sorted(map(tuple, found.collect()), key=repr) == plain(rows, documents, least, keep_first)
 
 
 def test_filter_lets_only_suspects_through(spark):
