@@ -11,6 +11,7 @@ from bazaar.llm import (
     alignment,
     bpe,
     chat,
+    conversations,
     decontaminate,
     knn,
     licenses,
@@ -245,6 +246,17 @@ def training_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("slot", "doc_id", "part", "n_tokens", "shard", "at", F.crc32("tokens").alias("crc32"))
 
 
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.link_statistics(table(spark, sf_dir, "documents"), *files)
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")), "dropped")
+
+
 @query(
     "op13_line_dedup",
     r"""
@@ -262,9 +274,3 @@ def training_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
-
-
-@query("op11_token_alignment")
-def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
-    return alignment.link_statistics(table(spark, sf_dir, "documents"), *files)
