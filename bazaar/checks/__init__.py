@@ -5,6 +5,7 @@ from bazaar.checks import (  # noqa: F401
     analytics,
     conformance,
     dates,
+    feed_files,
     filters,
     html,
     joins,

@@ -32,9 +32,10 @@ class Feed:
     ``reader`` is csv, csv_preamble or grid; ``header_row``, ``skip_rows`` (rows
     between header and data) and ``sheet`` place the table in a grid.
     ``headers`` is a header style, ``positional`` takes names from the contract
-    instead. ``expected`` lists a positional report's headers in the contract's
-    order (the caller's list, by ``dataclasses.replace``): columns are found by
-    them, ``optional`` ones may be absent, any other difference is refused.
+    instead; then the report has to have exactly as many columns as the contract
+    names (derived measures may be absent). ``expected`` lists a positional
+    report's headers in the contract's order: columns are found by them,
+    ``optional`` ones may be absent, any other difference is refused.
     ``dropped`` headers have no contract column. ``one_line`` and ``first_line``
     name contract columns whose line breaks become blanks, in the second case
     with the words after them. ``sums`` and ``remainders`` derive measures from contract columns.
@@ -165,7 +166,8 @@ FEEDS: dict[str, Feed] = {
         },
     ),
     "sales": Feed(
-        sheet="Laporan Penjualan", header_row=4, headers="plain", positional=True, dropped=("nomor",),
+        sheet="Laporan Penjualan", header_row=4, headers="plain", positional=True,
+        expected=V.SALES_HEADERS, dropped=("nomor",),
         one_line=("buyer_address",), first_line=("buyer_name",),
         optional=(
             "harga_satuan_bundling_idr", "gudang_pengiriman", "nama_bundling",
@@ -224,6 +226,100 @@ FEEDS: dict[str, Feed] = {
 }
 
 
+def rows(spark: SparkSession, feed: Feed, paths: list[str] | str, schema: T.StructType, **tags: object) -> DataFrame:
+    """Contract rows of all report files below the paths; nothing runs while the plan is built.
+
+    Every file (and sheet) is read by its own header, so languages, column
+    orders and optional columns mix in one read. A file is refused when it is
+    read if it lacks a header row, a key by which its rows are merged or, for a
+    positional report, has other columns than expected.
+    """
+    return shape_grid(grid_of(spark, feed, paths), feed, schema, **tags)
+
+
+def grid_of(spark: SparkSession, feed: Feed, paths: list[str] | str) -> DataFrame:
+    """The cells of all files: (path, sheet, row_no, cells)."""
+    if feed.reader == "csv":
+        return R.read_grid(spark, paths, blank_lines=False)
+    if feed.reader == "csv_preamble":
+        return R.read_preamble_grid(spark, paths)
+    return read_workbook_grid(spark, paths, feed.sheet)
+
+
+def shape_grid(grid: DataFrame, feed: Feed, schema: T.StructType, **tags: object) -> DataFrame:
+    """Contract rows of a grid; ``tags`` add store, folder or load time."""
+    dated = ("start_date", "end_date") if feed.period else ()
+    wanted = [n for n in schema.fieldNames() if n not in tags and n not in dated]
+    head, data = feed.header_row, feed.header_row + 1
+    if feed.positional and not feed.expected:
+        body = R.table_by_place(grid, head, data, _layouts(wanted, feed))
+    elif feed.positional:
+        body = _by_expected(grid, feed, wanted)
+    else:
+        body = _by_vocabulary(grid, feed, wanted, [k for k in feed.keys if k not in tags and k not in dated])
+    if feed.period:
+        row, col, *_ = feed.period
+        body = with_period(body, R.preamble_value(grid, row, col, "period"), feed)
+    else:
+        body = body.drop("path")
+    return _typed_rows(C.tag(_lines(body, feed), **tags), feed, schema)
+
+
+def _layouts(wanted: list[str], feed: Feed) -> list[list[str]]:
+    """The columns a positional report may have: all, or all that are not derived."""
+    own = [n for n in wanted if n not in feed.sums and n not in feed.remainders]
+    return [wanted] if own == wanted else [wanted, own]
+
+
+def _by_expected(grid: DataFrame, feed: Feed, wanted: list[str]) -> DataFrame:
+    named = dict(zip([h for h in feed.expected if h not in feed.dropped], wanted))
+    target = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    needed = F.array(*[F.lit(n) for h, n in named.items() if h not in feed.optional])
+    dropped = F.array(*[F.lit(f"?{h}") for h in feed.dropped]).cast("array<string>")
+
+    def name_of(header: Column) -> Column:
+        plain = Hd.header_expression(header, feed.headers)
+        return F.coalesce(F.try_element_at(target, plain), F.concat(F.lit("?"), plain))
+
+    def refuse(names: Column) -> Column:
+        unknown = F.array_except(F.filter(names, lambda n: n.startswith("?")), dropped)
+        lost = F.array_except(needed, names)
+        said = F.concat(F.lit("it lacks "), F.to_json(lost), F.lit(" and has unknown "), F.to_json(unknown))
+        return F.when(F.size(lost) + F.size(unknown) > 0, said)
+
+    return R.table_by_header(grid, feed.header_row, feed.header_row + 1, wanted, name_of, refuse=refuse)
+
+
+def _by_vocabulary(grid: DataFrame, feed: Feed, wanted: list[str], keys: list[str]) -> DataFrame:
+    pairs = lambda items: F.create_map(*[F.lit(x) for pair in items for x in pair])
+
+    def name_of(header: Column) -> Column:
+        name = Hd.header_expression(header, feed.headers)
+        if feed.vocabulary:
+            name = F.coalesce(F.try_element_at(pairs(feed.vocabulary.items()), header), name)
+        return F.coalesce(F.try_element_at(pairs(feed.renames.items()), name), name) if feed.renames else name
+
+    rank_of = None
+    if feed.vocabulary:
+        ranks = pairs((word, i) for i, word in enumerate(feed.vocabulary))
+        rank_of = lambda header: F.try_element_at(ranks, header)
+
+    def refuse(names: Column) -> Column:
+        lost = F.array_except(F.array(*[F.lit(k) for k in keys]), names)
+        return F.when(F.size(lost) > 0, F.concat(F.lit("it lacks "), F.to_json(lost), F.lit(", by which its rows are merged")))
+
+    return R.table_by_header(
+        grid, feed.header_row, feed.header_row + 1, wanted, name_of, rank_of, refuse if keys else None
+    )
+
+
+def _lines(df: DataFrame, feed: Feed) -> DataFrame:
+    """Texts whose line breaks become blanks."""
+    lines = {n: X.one_line(F.col(n)) for n in feed.one_line if n in df.columns}
+    lines |= {n: X.drop_second_line_words(F.col(n)) for n in feed.first_line if n in df.columns}
+    return df.withColumns(lines) if lines else df
+
+
 def read(spark: SparkSession, feed: Feed, paths: list[str] | str) -> DataFrame:
     """Raw report rows: text columns under their printed headers, with file path."""
     if feed.reader == "csv":
@@ -247,8 +343,8 @@ def table_of(grid: DataFrame, feed: Feed) -> DataFrame:
     return body.drop("path")
 
 
-def clean(df: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame:
-    """Columns under contract names; values stay text until the contract applies."""
+def clean(df: DataFrame, feed: Feed, schema: T.StructType, tags: tuple[str, ...] = ()) -> DataFrame:
+    """Columns under contract names; values stay text until the contract applies. ``tags`` come with no report."""
     if feed.dropped and not feed.expected:
         raise ValueError("give the report's headers: dataclasses.replace(feed, expected=...)")
     dated = [c for c in ("start_date", "end_date") if c in df.columns and feed.period]
@@ -257,17 +353,16 @@ def clean(df: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame:
         if feed.expected:
             df = _in_order(Hd.normalize_headers(df, feed.headers), feed, dated)
             body = df.drop(*dated)
-        names = [n for n in schema.fieldNames() if n not in dated]
-        if len(body.columns) > len(names):
-            raise ValueError(f"the report has {len(body.columns)} columns, its contract names {len(names)}")
-        names = names[: len(body.columns)]
+        layouts = _layouts([n for n in schema.fieldNames() if n not in dated and n not in tags], feed)
+        fitting = [names for names in layouts if len(names) == len(body.columns)]
+        if not fitting:
+            raise ValueError(f"the report has {len(body.columns)} columns, its contract names {len(layouts[0])}")
+        names = fitting[0]
         named = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(body.columns, names)], *dated)
     else:
         named = Hd.rename_synonyms(df, feed.vocabulary, style=feed.headers)
     named = named.withColumnsRenamed(feed.renames)
-    lines = {n: X.one_line(F.col(n)) for n in feed.one_line if n in named.columns}
-    lines |= {n: X.drop_second_line_words(F.col(n)) for n in feed.first_line if n in named.columns}
-    named = named.withColumns(lines) if lines else named
+    named = _lines(named, feed)
     return named if feed.positional else C.add_if_missing(named, {n: "string" for n in feed.optional})
 
 
@@ -310,14 +405,27 @@ def _typed(name: str, have: T.DataType | None, want: T.DataType, feed: Feed) ->
     return number.cast(want)
 
 
+#: Mark of a contract column that the report does not have.
+ABSENT = {"absent": True}
+
+
 def shape(df: DataFrame, feed: Feed, schema: T.StructType, **tags: object) -> DataFrame:
     """Raw report rows to contract rows; ``tags`` add store, folder or load time."""
-    named = C.tag(clean(df, feed, schema), **tags)
-    have = {f.name: f.dataType for f in named.schema.fields}
+    named = C.tag(clean(df, feed, schema, tuple(tags)), **tags)
     own = [k for k in feed.keys if k not in tags]
-    if own and not any(k in have for k in own):  # all rows would be merged into one
+    if own and not any(k in named.columns for k in own):  # all rows would be merged into one
         raise ValueError(f"the report has none of {own}, by which its rows are merged")
-    typed = named.select(*[_typed(f.name, have.get(f.name), f.dataType, feed).alias(f.name) for f in schema.fields])
+    return _typed_rows(named, feed, schema)
+
+
+def _typed_rows(named: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame:
+    have = {f.name: f.dataType for f in named.schema.fields}
+    typed = named.select(
+        *[
+            _typed(f.name, have.get(f.name), f.dataType, feed).alias(f.name, metadata={} if f.name in have else ABSENT)
+            for f in schema.fields
+        ]
+    )
     kinds = {f.name: f.dataType for f in schema.fields}
     derived = {n: N.total(*[F.col(p) for p in parts]).cast(kinds[n]) for n, parts in feed.sums.items()}
     derived |= {n: N.remainder(*[F.col(p) for p in parts]).cast(kinds[n]) for n, parts in feed.remainders.items()}
@@ -339,7 +447,10 @@ def with_period(df: DataFrame, cells: DataFrame, feed: Feed) -> DataFrame:
 def load(
     spark: SparkSession, rows: DataFrame, feed: Feed, path: str, staging: str, update_columns: list[str] | None = None
 ) -> None:
-    """Contract rows into the table in the feed's way."""
+    """Contract rows into the table in the feed's way; refused if the report had not every key they are merged by."""
+    lost = [k for k in feed.keys if k not in rows.columns or rows.schema[k].metadata.get("absent")]
+    if lost:
+        raise ValueError(f"the report has no {lost}, by which its rows are merged")
     if feed.load == "append":
         if feed.partition:
             K.append_partitioned(rows, path, *feed.partition)

@@ -191,3 +191,19 @@ MARKETPLACE_ORDERS = {
     "Provinsi": "buyer_province",
     "Waktu Pesanan Selesai": "complete_delivery_time",
 }
+
+# Headers of the sales report in its order (normalised).
+SALES_HEADERS = (
+    "nomor", "nomor_invoice", "tanggal_pembayaran", "status_terakhir", "tanggal_pesanan_selesai",
+    "waktu_pesanan_selesai", "tanggal_pesanan_dibatalkan", "waktu_pesanan_dibatalkan", "nama_produk",
+    "tipe_produk", "nomor_sku", "catatan_produk_pembeli", "catatan_produk_penjual", "jumlah_produk_dibeli",
+    "harga_awal_idr", "harga_satuan_bundling_idr", "diskon_produk_idr", "harga_jual_idr",
+    "jumlah_subsidi_tokopedia_idr", "nilai_kupon_toko_terpakai_idr", "jenis_kupon_toko_terpakai",
+    "kode_kupon_toko_yang_digunakan", "biaya_pengiriman_tunai_idr", "biaya_asuransi_pengiriman_idr",
+    "total_biaya_pengiriman_idr", "total_penjualan_idr", "nama_pembeli", "no_telp_pembeli", "nama_penerima",
+    "no_telp_penerima", "alamat_pengiriman", "kota", "provinsi", "nama_kurir",
+    "tipe_pengiriman_regular_same_day_etc", "no_resi__kode_booking", "tanggal_pengiriman_barang",
+    "waktu_pengiriman_barang", "gudang_pengiriman", "nama_campaign", "nama_bundling",
+    "tipe_bebas_ongkir_bebas_ongkir_bebas_ongkir_dt", "cod", "jumlah_produk_yang_dikurangkan",
+    "total_pengurangan_idr",
+)

@@ -191,6 +191,36 @@ def table_by_header(
     return rows.select(*keep, *[cell(i).alias(c) for i, c in enumerate(columns)])
 
 
+def table_by_place(
+    grid: DataFrame, header_row: int, data_row: int, layouts: list[list[str]], keep: tuple[str, ...] = ("path",)
+) -> DataFrame:
+    """Body rows of a grid whose columns are known by their places.
+
+    A file (or sheet) has one of the layouts, by the number of its header cells;
+    with any other number it is refused when it is read. Columns that its layout
+    lacks are NULL.
+    """
+    width = F.coalesce(F.array_max(F.transform("cells", lambda c, i: F.when(F.trim(c) != "", i + 1))), F.lit(0))
+    laid = grid.where(F.col("row_no") == header_row).select(F.col("path").alias("of"), F.col("sheet").alias("of_sheet"), width.alias("width"))
+    fits = F.col("width").isin([len(names) for names in layouts])
+    said = F.concat(
+        F.lit("report "), "of", F.lit(" is refused: it has "), "width",
+        F.lit(f" columns, its contract names {' or '.join(str(len(names)) for names in layouts)}"),
+    )
+    laid = laid.select("of", "of_sheet", F.when(fits, F.col("width")).otherwise(F.raise_error(said).cast("int")).alias("width"))
+    same = (F.col("path") == F.col("of")) & F.col("sheet").eqNullSafe(F.col("of_sheet"))
+    lost = F.raise_error(F.concat(F.lit("report "), "path", F.lit(f" has no header at row {header_row}"))).cast("int")
+    body = grid.where(F.col("row_no") >= data_row).join(laid, same, "left")
+    body = body.withColumn("width", F.when(F.col("of").isNull(), lost).otherwise(F.col("width")))
+
+    def cell(name: str) -> Column:
+        places = [(len(names), names.index(name)) for names in layouts if name in names]
+        found = F.coalesce(*[F.when(F.col("width") == n, F.lit(i)) for n, i in places])
+        return F.get("cells", found)
+
+    return body.select(*keep, *[cell(name).alias(name) for name in layouts[0]])
+
+
 def preamble_value(grid: DataFrame, row: int, col: int, name: str) -> DataFrame:
     """(path, name): one metadata cell per file."""
     return grid.filter(F.col("row_no") == row).select(

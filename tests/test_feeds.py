@@ -132,6 +132,76 @@ def test_a_report_without_a_merge_key_is_refused(spark):
         Fd.shape(spark.createDataFrame([("1",)], "other string"), feed, contract({"order_item_id": "STRING"}), store_name="x")
 
 
+def test_rows_read_every_file_by_its_header(spark, tmp_path):
+    """The lazy path: mixed languages, refusals when a file is read and not before, no job while planning."""
+    from tests.test_records import jobs_of
+
+    feed = Fd.FEEDS["live_analysis"]
+    schema = contract({"creator": "STRING", "revenue": "FLOAT", "launched_time": "TIMESTAMP", "store_name": "STRING"})
+    heads = {"en": ["Creator", "Revenue (Rp)", "Launched Time"], "id": ["Waktu Live", "Kreator", "Penghasilan (Rp)"]}
+    for lang, head in heads.items():
+        body = {"en": ["ann", "1.5", "2024/01/02/ 03:04"], "id": ["2024/01/02/ 03:04", "budi", "2.5"]}[lang]
+        put(tmp_path / "both", f"{lang}.xlsx", workbook({"S": [["x"], [], head, body]}))
+    df, jobs = jobs_of(spark, lambda: Fd.rows(spark, feed, str(tmp_path / "both"), schema, store_name="t"))
+    assert jobs == 0
+    assert [(r.creator, r.revenue, str(r.launched_time), r.store_name) for r in df.orderBy("creator").collect()] == [
+        ("ann", 1.5, "2024-01-02 03:04:00", "t"), ("budi", 2.5, "2024-01-02 03:04:00", "t"),
+    ]
+
+    chats = Fd.FEEDS["chat_orders"]
+    wanted = contract({"order_id": "STRING", "sku_id": "STRING", "quantity": "INTEGER", "store_name": "STRING"})
+    put(tmp_path / "csv", "a.csv", 'Order ID,Quantity,SKU ID\n1,2,"s\nt"\n')
+    assert [tuple(r) for r in Fd.rows(spark, chats, str(tmp_path / "csv"), wanted, store_name="t").collect()] == [("1", "s\nt", 2, "t")]
+    put(tmp_path / "csv", "b.csv", "Order ID,Quantity\n1,2\n")
+    with pytest.raises(Exception, match=r'b.csv is refused: it lacks ."sku_id'):
+        Fd.rows(spark, chats, str(tmp_path / "csv"), wanted, store_name="t").collect()
+
+
+def test_positional_reports_need_all_columns(spark, tmp_path):
+    feed = Fd.FEEDS["buyers_by_region"]
+    schema = contract({"start_date": "DATE", "end_date": "DATE", "city": "STRING", "total_buyer": "INTEGER",
+                       "total_order": "INTEGER", "official_store": "STRING"})
+
+    def book(name, head, *rows):
+        cells = [["t"], [], ["01/10/2023 - 07/10/2023"], [], [], head, *rows]
+        put(tmp_path / name, "r.xlsx", workbook({"Summary": cells}))
+        return str(tmp_path / name)
+
+    good = Fd.rows(spark, feed, book("good", ["Kota", "Pembeli", "Pesanan"], ["Bogor", "3", "4"]), schema, official_store="t")
+    assert [(str(r.start_date), r.city, r.total_buyer, r.total_order) for r in good.collect()] == [("2023-10-01", "Bogor", 3, 4)]
+    short = book("short", ["Kota", "Pesanan"], ["Bogor", "4"])
+    with pytest.raises(ValueError, match="2 columns"):
+        Fd.shape(Fd.read(spark, feed, short), feed, schema, official_store="t")
+    with pytest.raises(Exception, match="refused: it has 2 columns"):
+        Fd.rows(spark, feed, short, schema, official_store="t").collect()
+
+
+def test_sales_by_the_library_headers(spark, tmp_path):
+    from bazaar.plans.vocabularies import SALES_HEADERS
+
+    feed = Fd.FEEDS["sales"]
+    names = [n for n in SALES_HEADERS if n != "nomor"]
+    schema = contract({n: "STRING" for n in [*names, "folder"]})
+    head = [n.replace("_", " ").title() for n in reversed(SALES_HEADERS) if n not in feed.optional]
+
+    def book(name, head):
+        put(tmp_path / name, "r.xlsx", workbook({"Laporan Penjualan": [[], [], [], [], head, [f"v{h}" for h in head]]}))
+        return Fd.rows(spark, feed, str(tmp_path / name), schema, folder="f")
+
+    row = book("a", head).first()
+    assert row.nomor_invoice == "vNomor Invoice" and row.nama_bundling is None and row.folder == "f"
+    with pytest.raises(Exception, match="lacks .*kota.* unknown .*baru"):
+        book("b", ["Baru", *[h for h in head if h != "Kota"]]).collect()
+
+
+def test_load_asks_for_every_key(spark, tmp_path):
+    feed = Fd.Feed(reader="csv", load="merge", keys=("k", "day"), order=("n",))
+    schema = contract({"k": "STRING", "day": "STRING", "n": "INTEGER"})
+    rows = Fd.shape(spark.createDataFrame([("a", "1"), ("a", "2")], "k string, n string"), feed, schema)
+    with pytest.raises(ValueError, match="day"):
+        Fd.load(spark, rows, feed, str(tmp_path / "t"), str(tmp_path / "s"))
+
+
 def docs(spark, *texts):
     return spark.createDataFrame([(t,) for t in texts], "payload string")
 
