@@ -18,6 +18,7 @@ step by step, and goes on with the new shift.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +31,15 @@ from pyspark.sql import types as T
 from bazaar.llm import kernels
 from bazaar.llm.storage import stored
 
-PART_BYTES = 1_000_000
+PART_BYTES = 2_000_000
 #: Segments, and bytes of them, that a task remembers.
-CACHED_SEGMENTS = 400_000
+CACHED_SEGMENTS = 300_000
 CACHED_BYTES = 32_000_000
 #: Pairs whose counts are sent to every task: 13 bytes each.
 BROADCAST_PAIRS = 1 << 21
 _SLICE = 8
+_ENCODED = 1000  # segments that a library gets at once
+_SMALL_GROUP = 4096  # token pairs
 #: Fixed values of the byte-level alphabet: bytes that stand for themselves; the others follow from 256 on.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _loaded: dict[int, tuple[ByteLevel, Pieces]] = {}
@@ -46,6 +49,7 @@ class ByteLevel:
     """Tokenizer A: a byte-level vocabulary file of the tokenizers library."""
 
     def __init__(self, content: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_str(content.decode())
@@ -54,8 +58,10 @@ class ByteLevel:
         self.own.no_truncation()
         letters = {chr(b): b for b in _PLAIN}
         letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-        tokens = self.own.get_vocab(with_added_tokens=True)
-        self.bytes = {i: bytes(letters[c] for c in token) for token, i in tokens.items() if set(token) <= set(letters)}
+        self.bytes = [b""] * self.own.get_vocab_size(with_added_tokens=True)
+        for token, i in self.own.get_vocab(with_added_tokens=True).items():
+            if set(token) <= set(letters):
+                self.bytes[i] = bytes(letters[c] for c in token)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.own.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,12 +74,11 @@ class Pieces:
         import sentencepiece
 
         self.own = sentencepiece.SentencePieceProcessor(model_proto=content)
-        self.bytes, self.whole_texts = {}, False
+        self.bytes, self.whole_texts = [], False
         for i in range(self.own.get_piece_size()):
             piece = self.own.id_to_piece(i)
-            self.bytes[i] = bytes([int(piece[3:5], 16)]) if self.own.is_byte(i) else piece.replace("▁", " ").encode()
-            inner = piece.lstrip("▁")
-            self.whole_texts |= "▁" in inner
+            self.bytes.append(bytes([int(piece[3:5], 16)]) if self.own.is_byte(i) else piece.replace("▁", " ").encode())
+            self.whole_texts |= "▁" in piece.lstrip("▁")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts, each without its first blank; a blank alone is the piece of it (the library puts none before nothing)."""
@@ -81,6 +86,33 @@ class Pieces:
         return [ids or [blank] for ids in self.own.encode([x[1:] for x in texts], num_threads=1)]
 
 
+class _Tokens:
+    """The tokens of many segments in a row: ids, their bytes' ends, and the number of each segment's."""
+
+    def __init__(self, tokenizer: ByteLevel | Pieces, strings: list[str]):
+        ids: list[int] = []
+        counts = []
+        for at in range(0, len(strings), _ENCODED):
+            for own in tokenizer.encode(strings[at : at + _ENCODED]):
+                ids += own
+                counts.append(len(own))
+        self.counts = np.array(counts, np.int64)
+        self.ids = np.array(ids, np.int64)
+        parts = list(map(tokenizer.bytes.__getitem__, ids))
+        self.sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.joined = b"".join(parts)
+        self.owner = np.repeat(np.arange(len(strings)), self.counts)
+
+    def fits(self, texts: list[bytes]) -> np.ndarray:
+        """Whether the bytes of each segment's tokens are its own."""
+        ends = np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(self.counts)])].tolist()
+        return np.array([self.joined[x:y] == text for x, y, text in zip(ends[:-1], ends[1:], texts, strict=True)], bool)
+
+    def keep(self, segments: np.ndarray) -> None:
+        kept = segments[self.owner]
+        self.ids, self.sizes, self.owner = self.ids[kept], self.sizes[kept], self.owner[kept]
+
+
 def tokenizers(a: bytes, b: bytes) -> tuple[ByteLevel, Pieces]:
     """The parsed files, once in each Python worker."""
     key = hash((a, b))
@@ -147,79 +179,67 @@ class Aligner:
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
+        self.base = 2 * len(a.bytes)  # an id with what follows it: for a at 2 id, for b from here on
+        words = [f"{i}{end}" for i in range(len(a.bytes)) for end in ",|"]
+        self.words = pa.array(words + [f"{i}{end}" for i in range(len(b.bytes)) for end in ",;"])
         self.forget()
 
     def forget(self) -> None:
         none = np.zeros(0, np.int64)
         self.known, self.place = np.zeros(0, np.uint64), none
         self.sizes = np.zeros((0, 4), np.int64)  # tokens of a, tokens of b, groups, links; -1 where bytes differ
-        self.groups: list[str] = []
+        self.groups = pa.array([], pa.string())
         self.pairs, self.times = none, none
         self.pair_ends = np.zeros(1, np.int64)
         self.held = 0
 
     def _learn(self, texts: list[bytes], hashes: np.ndarray) -> None:
         strings = [x.decode() for x in texts]
-        ids_a = self.a.encode(strings)
-        ids_b = self.b.encode(strings)
-        bytes_a, bytes_b = self.a.bytes, self.b.bytes
-        good, ends_a, ends_b, at = [], [], [], 0
-        for text, x, y in zip(texts, ids_a, ids_b, strict=True):
-            parts_a, parts_b = [bytes_a.get(i, b"") for i in x], [bytes_b.get(i, b"") for i in y]
-            fits = b"".join(parts_a) == text == b"".join(parts_b)
-            good.append(fits)
-            if fits:
-                here = at
-                for part in parts_a:
-                    here += len(part)
-                    ends_a.append(here)
-                here = at
-                for part in parts_b:
-                    here += len(part)
-                    ends_b.append(here)
-                at = here
-        cuts_a, cuts_b = runs(ends_a, ends_b)  # a segment's end is an end of both, so no group spans two
-        sizes, pairs, times, counts = [], [], [], []
-        i = j = g = 0
-        for fits, x, y in zip(good, ids_a, ids_b, strict=True):
-            if not fits:
-                sizes.append((-1, -1, -1, -1))
-                self.groups.append("")
-                counts.append(0)
-                continue
-            base_a, base_b = i, j
-            stop, links, written = i + len(x), 0, []
-            own: dict[int, int] = {}
-            while i < stop:
-                to_a, to_b = cuts_a[g], cuts_b[g]
-                left, right = x[i - base_a : to_a - base_a], y[j - base_b : to_b - base_b]
-                links += len(left) * len(right)
-                if len(left) == len(right) == 1:
-                    pair = left[0] << 32 | right[0]
-                    own[pair] = own.get(pair, 0) + 1
-                    written.append(f"{left[0]}|{right[0]}")
-                else:
-                    written.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-                    for pair, n in _distinct_pairs(left, right):
-                        own[pair] = own.get(pair, 0) + n
-                i, j, g = to_a, to_b, g + 1
-            sizes.append((len(x), len(y), len(written), links))
-            self.groups.append(";".join(written))
-            pairs += own
-            times += own.values()
-            counts.append(len(own))
+        a, b = _Tokens(self.a, strings), _Tokens(self.b, strings)
+        fits = a.fits(texts) & b.fits(texts)
+        a.keep(fits)
+        b.keep(fits)
+        # a segment's end is an end of both, so no group spans two
+        to_a, to_b = (np.array(x, np.int64) for x in runs(np.cumsum(a.sizes).tolist(), np.cumsum(b.sizes).tolist()))
+        from_a, from_b = (np.concatenate([[0], x[:-1]]) if len(x) else x for x in (to_a, to_b))
+        owner, n_a, n_b = a.owner[from_a], to_a - from_a, to_b - from_b
+        n = len(texts)
+        sizes = np.stack(
+            [
+                np.bincount(a.owner, minlength=n), np.bincount(b.owner, minlength=n), np.bincount(owner, minlength=n),
+                np.rint(np.bincount(owner, n_a * n_b, n)).astype(np.int64),
+            ],
+            axis=1,
+        )
+        sizes[~fits] = -1
+        written = self._written(a, b, to_a, to_b, from_b, n_a, n_b, n)
+        segment, pairs, times = _segment_pairs(a.ids, b.ids, from_a, from_b, n_a, n_b, owner)
         base = len(self.sizes)
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64).reshape(-1, 4)])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-        self.times = np.concatenate([self.times, np.array(times, np.int64)])
-        self.pair_ends = np.concatenate([self.pair_ends, self.pair_ends[-1] + np.cumsum(counts)])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.groups = pa.concat_arrays([self.groups, written])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.times = np.concatenate([self.times, times])
+        self.pair_ends = np.concatenate([self.pair_ends, self.pair_ends[-1] + np.cumsum(np.bincount(segment, minlength=n))])
         known = np.concatenate([self.known, hashes])
-        place = np.concatenate([self.place, base + np.arange(len(texts))])
+        place = np.concatenate([self.place, base + np.arange(n)])
         order = np.argsort(known)
         self.known, self.place = known[order], place[order]
         self.held += sum(map(len, texts))
 
-    def align(self, column: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    def _written(self, a: _Tokens, b: _Tokens, to_a, to_b, from_b, n_a, n_b, n: int) -> pa.Array:
+        """The groups of every segment as text, each group with a semicolon after it."""
+        tokens = np.empty(len(a.ids) + len(b.ids), np.int64)
+        last = np.zeros(len(a.ids), bool)
+        last[to_a - 1] = True
+        tokens[np.arange(len(a.ids)) + np.repeat(from_b, n_a)] = 2 * a.ids + last
+        last = np.zeros(len(b.ids), bool)
+        last[to_b - 1] = True
+        tokens[np.arange(len(b.ids)) + np.repeat(to_a, n_b)] = self.base + 2 * b.ids + last
+        counts = np.bincount(a.owner, minlength=n) + np.bincount(b.owner, minlength=n)
+        bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(bounds, self.words.take(pa.array(tokens))), "")
+
+    def align(self, column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
         """Of each text: sizes (a, b, groups, links) and its groups as text; then its distinct pairs, how
         often each is linked, and the bounds of the texts in both."""
         data, offsets = kernels.text_bytes(pc.binary_join_element_wise(" ", pc.fill_null(column, ""), ""))
@@ -247,9 +267,8 @@ class Aligner:
         kept = ~wrong[owner]
         for c in range(4):
             total[:, c] = np.bincount(owner[kept], sizes[kept, c], texts)
-        get, cuts = self.groups.__getitem__, first.tolist()
-        order = places.tolist()
-        groups = ["" if w else ";".join(map(get, order[x:y])) for w, x, y in zip(wrong.tolist(), cuts[:-1], cuts[1:], strict=True)]
+        every = pa.ListArray.from_arrays(pa.array(first, pa.int32()), self.groups.take(pa.array(places)))
+        groups = pc.if_else(pa.array(wrong), "", pc.utf8_rtrim(pc.binary_join(every, ""), ";"))
         # segments of each text with their number, then the pairs of these
         keys, seen = np.unique(owner[kept] << 32 | places[kept], return_counts=True)
         text, place = keys >> 32, keys & 0xFFFFFFFF
@@ -257,25 +276,34 @@ class Aligner:
         begin = np.cumsum(n) - n
         index = np.repeat(self.pair_ends[place] - begin, n) + np.arange(int(n.sum()))
         pair, times, text = self.pairs[index], self.times[index] * np.repeat(seen, n), np.repeat(text, n)
-        sorted_ = np.lexsort((pair, text))
-        pair, times, text = pair[sorted_], times[sorted_], text[sorted_]
-        head = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (text[1:] != text[:-1]))) if len(pair) else np.zeros(0, np.int64)
-        times = np.add.reduceat(times, head) if len(head) else times
-        pair, text = pair[head], text[head]
+        text, pair, times = _summed(text, pair, times)
         return total, groups, pair, times, np.searchsorted(text, np.arange(texts + 1))
 
 
-def _distinct_pairs(left: list[int], right: list[int]) -> Iterator[tuple[int, int]]:
-    """Each pair of distinct ids of a group and how many token pairs have it."""
-    count_a: dict[int, int] = {}
-    count_b: dict[int, int] = {}
-    for i in left:
-        count_a[i] = count_a.get(i, 0) + 1
-    for i in right:
-        count_b[i] = count_b.get(i, 0) + 1
-    for i, n in count_a.items():
-        for j, m in count_b.items():
-            yield i << 32 | j, n * m
+def _segment_pairs(ids_a, ids_b, from_a, from_b, n_a, n_b, owner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct id pairs of each segment's groups, in order of segments, with how often each is linked."""
+    small = n_a * n_b <= _SMALL_GROUP
+    n = (n_a * n_b)[small]
+    ends = np.cumsum(n)
+    group = np.repeat(np.flatnonzero(small), n)
+    k = np.arange(int(n.sum())) - np.repeat(ends - n, n)
+    pairs = [ids_a[from_a[group] + k // n_b[group]] << 32 | ids_b[from_b[group] + k % n_b[group]]]
+    segments, times = [owner[group]], [np.ones(len(group), np.int64)]
+    for g in np.flatnonzero(~small).tolist():  # a long group: its distinct ids, not its tokens, are paired
+        x, many_x = np.unique(ids_a[from_a[g] : from_a[g] + n_a[g]], return_counts=True)
+        y, many_y = np.unique(ids_b[from_b[g] : from_b[g] + n_b[g]], return_counts=True)
+        pairs.append((x[:, None] << 32 | y).ravel())
+        times.append((many_x[:, None] * many_y).ravel())
+        segments.append(np.full(len(x) * len(y), owner[g]))
+    return _summed(np.concatenate(segments), np.concatenate(pairs), np.concatenate(times))
+
+
+def _summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (owner, pair) in order, with the sums of times."""
+    order = np.lexsort((pair, owner))
+    owner, pair, times = owner[order], pair[order], times[order]
+    head = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1]))) if len(pair) else np.zeros(0, np.int64)
+    return owner[head], pair[head], np.add.reduceat(times, head) if len(head) else times
 
 
 _ROW = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint"
@@ -306,7 +334,7 @@ def aligned(
                 bounds = pa.array(bounds, pa.int32())
                 yield pa.record_batch(
                     [
-                        part.column(0), *[pa.array(total[:, c]) for c in range(4)], pa.array(groups, pa.string()),
+                        part.column(0), *[pa.array(total[:, c]) for c in range(4)], groups,
                         pa.ListArray.from_arrays(bounds, pa.array(pairs)),
                         pa.ListArray.from_arrays(bounds, pa.array(times)),
                     ],
