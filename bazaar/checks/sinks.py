@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bazaar.checks.registry import LINE_KEY, LINE_ORDER, check, table
 from bazaar.operators.contracts import contract
 from bazaar.session import work_folder
+from bazaar.sinks import indexed as I
 from bazaar.sinks import tables as K
 
 _OLDEST = ", ".join(LINE_ORDER)
@@ -236,3 +237,28 @@ def quarantine(spark, d):
     whole = good.unionByName(small, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True)
     return whole.select("event_id", "reject_reason", "k")
 
+
+
+@check(
+    "merge_indexed",
+    """
+WITH first AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0),
+second AS (
+  SELECT o_orderkey, o_custkey, 'late' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 100 IN (3, 5)),
+third AS (SELECT o_orderkey, o_custkey, 'new' AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 7 = 1),
+once AS (SELECT * FROM first WHERE o_orderkey NOT IN (SELECT o_orderkey FROM second) UNION ALL SELECT * FROM second)
+SELECT * FROM once WHERE o_orderkey NOT IN (SELECT o_orderkey FROM third) UNION ALL SELECT * FROM third
+""",
+)
+def merge_indexed(spark, d):
+    """Two loads into an indexed table, each under its name and the second time without effect."""
+    path = work_folder(spark, "indexed")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    I.create_indexed(spark, orders.where("o_orderkey % 3 <> 0"), path, ["o_orderkey"], slot_rows=500, file_rows=5000)
+    late = orders.where("o_orderkey % 100 IN (3, 5)").withColumns(
+        {"o_orderstatus": F.lit("late"), "o_totalprice": F.col("o_totalprice") + 1}
+    )
+    new = orders.where("o_orderkey % 3 = 0 AND o_orderkey % 7 = 1").withColumn("o_orderstatus", F.lit("new"))
+    for load, rows in (("late", late), ("new", new), ("late", new)):
+        I.merge_indexed(spark, rows, path, load)
+    return I.read_indexed(spark, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from bazaar.sinks.indexed import merge_indexed
 from bazaar.sinks.tables import merge_into
 
 
@@ -43,3 +44,23 @@ def stream_upsert(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_upsert_indexed(
+    spark: SparkSession, stream: DataFrame, path: str, order: list[str], checkpoint: str, keep: str = "latest"
+) -> StreamingQuery:
+    """Merge every micro-batch into an indexed table: only files that can hold a key of the batch are rewritten.
+
+    The batch number names the load, so a batch that is run again is not merged
+    twice; readers see each batch wholly or not at all.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge_indexed(spark, batch, path, f"batch-{batch_id}", dedupe_order=order, keep=keep)
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
