@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bazaar.checks.fixtures import workbooks
+from bazaar.checks.fixtures import sheet_books, workbooks
 from bazaar.checks.registry import check, day_text, minute_text, table
 from bazaar.operators.contracts import contract
 from bazaar.plans import feeds as Fd
 from bazaar.plans.vocabularies import SALES_HEADERS
+from bazaar.session import work_folder
 from bazaar.sources.workbooks import workbook_grid
 
 
-def _grid(frames, preamble, sheet):
-    """The named sheet of all books; each frame has its own header."""
+def _books(frames, preamble, sheet):
+    """Workbooks with the sheet; each frame has its own header."""
     books = None
     for i, frame in enumerate(frames):
         path = F.concat(F.lit(f"{i}-"), F.monotonically_increasing_id(), F.lit("-"), F.col("path"))
         own = workbooks(frame, preamble, sheet).withColumn("path", path)
         books = own if books is None else books.union(own)
-    return workbook_grid(books, sheet)
+    return books
 
 
 @check(
@@ -47,7 +48,7 @@ def feed_bilingual(spark, d):
         {"creator_id": "STRING", "revenue": "FLOAT", "orders_created": "INTEGER", "launched_time": "TIMESTAMP",
          "acu": "INTEGER", "nickname": "STRING"}
     )
-    grid = _grid([english, indonesian], [["Laporan"], []], "Live")
+    grid = workbook_grid(_books([english, indonesian], [["Laporan"], []], "Live"), "Live")
     rows = Fd.shape_grid(grid, Fd.FEEDS["live_analysis"], schema)
     return rows.withColumn("launched_time", minute_text(F.col("launched_time")))
 
@@ -83,7 +84,8 @@ def feed_sales(spark, d):
     short = items.where("l_linenumber % 2 <> 0").select(*[shown(n) for n in reversed(SALES_HEADERS) if n not in feed.optional])
     names = [SALES_NAMES.get(n, "buyer_address" if n == "alamat_pengiriman" else n) for n in SALES_HEADERS if n != "nomor"]
     schema = contract({n: "INTEGER" if n == "selling_price" else "STRING" for n in [*names, "folder"]})
-    rows = Fd.shape_grid(_grid([whole, short], [["x"], [], [], []], "Laporan Penjualan"), feed, schema, folder="toko")
+    books = _books([whole, short], [["x"], [], [], []], "Laporan Penjualan")
+    rows = Fd.shape_books(books, {"sales": feed}, {"sales": schema}, folder="toko")["sales"]
     return rows.select("invoice_number", "sku_name", "selling_price", "nama_bundling", "buyer_address", "folder")
 
 
@@ -104,6 +106,47 @@ def feed_positional(spark, d):
         {"start_date": "DATE", "end_date": "DATE", "city": "STRING", "total_buyer": "INTEGER", "total_order": "INTEGER",
          "official_store": "STRING"}
     )
-    grid = _grid([buyers], [["x"], [], ["01/01/2024 - 07/01/2024"], [], []], "Summary")
+    grid = workbook_grid(_books([buyers], [["x"], [], ["01/01/2024 - 07/01/2024"], [], []], "Summary"), "Summary")
     rows = Fd.shape_grid(grid, Fd.FEEDS["buyers_by_region"], schema, official_store="toko")
     return rows.withColumns({c: day_text(F.col(c)) for c in ("start_date", "end_date")})
+
+
+@check(
+    "feed_traffic",
+    """
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS nama_produk, o_custkey, o_orderdate FROM orders),
+times AS (
+  SELECT unnest(['viewed', 'conversion']) AS kind, strftime(o_orderdate, '%Y-%m-%d') AS waktu, NULL AS nama_produk,
+    CAST(o_custkey AS BIGINT) AS pencarian, NULL AS start_date, NULL AS end_date FROM o),
+products AS (
+  SELECT unnest(['viewed', 'conversion']) AS kind, NULL AS waktu, nama_produk, CAST(o_custkey AS BIGINT) AS pencarian,
+    '2024-01-01' AS start_date, '2024-01-07' AS end_date FROM o)
+SELECT *, 'toko' AS official_store, CAST(NULL AS BIGINT) AS flash_sale FROM times UNION ALL SELECT *, 'toko', NULL FROM products
+""",
+)
+def feed_traffic(spark, d):
+    """Four sheets to four tables and the period from a fifth, from one parse of each workbook."""
+    shown = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("Barang"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("Tanggal"),
+        F.col("o_custkey").cast("string").alias("Pencarian (SEO)"),
+    )
+    before = [["Trafik"], []]
+    sheets = {
+        f"{title} - Rincian {by}": (before, [first, "Pencarian (SEO)"])
+        for title in ("Konversi", "Produk Dilihat") for by, first in (("Waktu", "Tanggal"), ("Produk", "Barang"))
+    }
+    books = sheet_books(shown, sheets, {"Ringkasan": [["Trafik"], ["01/01/2024 - 07/01/2024"]]})
+    names = [n for n in Fd.FEEDS if n.startswith(("traffic_viewed", "traffic_conversion"))]
+    columns = {"pencarian": "INTEGER", "flash_sale": "INTEGER", "official_store": "STRING"}
+    time = contract({"waktu": "DATE", **columns})
+    product = contract({"start_date": "DATE", "end_date": "DATE", "nama_produk": "STRING", **columns})
+    schemas = {n: time if n.endswith("time") else product for n in names}
+    tables = Fd.shape_books(
+        books, {n: Fd.FEEDS[n] for n in names}, schemas, work_folder(spark, "traffic"), official_store="toko"
+    )
+    out = None
+    for name, rows in tables.items():
+        days = [c for c in ("waktu", "start_date", "end_date") if c in rows.columns]
+        rows = rows.withColumns({c: day_text(F.col(c)) for c in days}).withColumn("kind", F.lit(name.split("_")[1]))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out

@@ -64,3 +64,21 @@ def workbooks(df: DataFrame, preamble: list[list], sheet: str) -> DataFrame:
                 yield pd.DataFrame({"path": [f"book-{batch[key].iloc[0]}.xlsx"], "content": [content]})
 
     return df.mapInPandas(books, "path string, content binary")
+
+
+def sheet_books(df: DataFrame, sheets: dict[str, tuple[list[list], list[str]]], more: dict[str, list[list]]) -> DataFrame:
+    """(path, content): per Arrow batch one workbook; each of ``sheets`` has rows before the header and the columns it shows.
+
+    ``more`` are sheets of their own, after the others.
+    """
+
+    def books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                rows = batch.astype(object).where(batch.notna(), None)
+                content = workbook(
+                    {name: [*before, shown, *rows[shown].values.tolist()] for name, (before, shown) in sheets.items()} | more
+                )
+                yield pd.DataFrame({"path": [f"book-{batch.iloc[0, 0]}.xlsx"], "content": [content]})
+
+    return df.mapInPandas(books, "path string, content binary")

@@ -8,6 +8,7 @@ table's schema); cleaning rules address columns by name or by contract type.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from bazaar.operators import headers as Hd
 from bazaar.plans import vocabularies as V
 from bazaar.sinks import tables as K
 from bazaar.sources import reports as R
+from bazaar.sources import workbooks as W
 from bazaar.sources.workbooks import read_workbook_grid
 
 
@@ -40,7 +42,10 @@ class Feed:
     name contract columns whose line breaks become blanks, in the second case
     with the words after them. ``sums`` and ``remainders`` derive measures from contract columns.
     ``invalid`` says what a bad number becomes: null or zero. ``period`` places
-    the report's date range: (row, column, date layout, separator, prefix).
+    the report's date range: (row, column, date layout, separator, prefix), on
+    the sheet ``period_sheet`` if that is another one; the dates then come as
+    start_date and end_date where the contract has them. ``first_header``
+    replaces the text of the first header cell.
     ``load`` is append, merge (NULL keys match) or merge_strict.
     """
 
@@ -66,6 +71,8 @@ class Feed:
     always_null: tuple[str, ...] = ()
     invalid: str = "null"
     period: tuple[int, int, str, str, str] | None = None
+    period_sheet: str | int | None = None
+    first_header: str | None = None
     load: str = "append"
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
@@ -219,6 +226,18 @@ FEEDS: dict[str, Feed] = {
         header_row=2, headers="seo", optional=_TRAFFIC_OPTIONAL, date_formats=_ISO, load="merge",
         keys=("nama_produk", "official_store", "start_date", "end_date"), order=("upload_tstamp",),
     ),
+    **{
+        f"traffic_{kind}_by_{by}": Feed(
+            sheet=f"{title} - Rincian {'Waktu' if by == 'time' else 'Produk'}", header_row=2, headers="seo",
+            optional=_TRAFFIC_OPTIONAL, date_formats=_DAY if by == "time" else _ISO, load="merge",
+            first_header="waktu" if by == "time" else "nama_produk",
+            period=(1, 0, "d/M/yyyy", " - ", ""), period_sheet="Ringkasan",
+            keys=("waktu", "official_store") if by == "time" else ("nama_produk", "official_store", "start_date", "end_date"),
+            order=("upload_tstamp",),
+        )
+        for kind, title in (("viewed", "Produk Dilihat"), ("conversion", "Konversi"))
+        for by in ("time", "product")
+    },
     "video_statistic": Feed(
         sheet="wawasan video", header_row=10, positional=True, date_formats=("yyyy/M/d",), load="merge",
         keys=("judul", "waktu_dibuat", "store_name"), order=("load_timestamp",),
@@ -232,11 +251,82 @@ def rows(spark: SparkSession, feed: Feed, paths: list[str] | str, schema: T.Stru
     Every file (and sheet) is read by its own header, so languages, column
     orders and optional columns mix in one read. A file is refused when it is
     read if it lacks a header row, a key by which its rows are merged or, for a
-    positional report, has other columns than expected.
+    positional report, has other columns than expected. A workbook is parsed
+    once: header, period cell and body come from the same pass.
     """
+    if feed.reader == "grid":
+        return shape_books(W.workbook_files(spark, paths), {"": feed}, {"": schema}, **tags)[""]
     return shape_grid(grid_of(spark, feed, paths), feed, schema, **tags)
 
 
+def shape_books(
+    files: DataFrame, feeds: dict[str, Feed], schemas: dict[str, T.StructType], staging: str | None = None, **tags: object
+) -> dict[str, DataFrame]:
+    """Contract rows of several feeds that stand in the same workbooks (path, content).
+
+    With ``staging`` the files are parsed once for all feeds: the rows are
+    stored there, a folder for each feed, which also ends the lineage. Without
+    it each frame that is used parses them.
+    """
+    rules = {name: _rule(feed, schemas[name], tags) for name, feed in feeds.items()}
+    found = W.sheet_rows(files, rules)
+    if staging is not None:
+        found.write.mode("overwrite").partitionBy("rule").parquet(staging)
+        found = files.sparkSession.read.schema(W.ROWS_SCHEMA).parquet(staging)
+    out = {}
+    for name, feed in feeds.items():
+        body = W.rule_table(found, name, rules[name])
+        if feed.period:
+            body = _dated(body, feed)
+        out[name] = _typed_rows(C.tag(_lines(body.drop("path"), feed), **tags), feed, schemas[name])
+    return out
+
+
+def _own_columns(feed: Feed, schema: T.StructType, tags: Iterable[str]) -> list[str]:
+    """Contract columns that come from the report's body."""
+    dated = ("start_date", "end_date") if feed.period else ()
+    return [n for n in schema.fieldNames() if n not in tags and n not in dated]
+
+
+def _rule(feed: Feed, schema: T.StructType, tags: dict[str, object]) -> W.SheetRule:
+    """Where a feed's table stands in a workbook, and how its headers give the wanted columns."""
+    wanted = _own_columns(feed, schema, tags)
+    keys = [k for k in feed.keys if k in wanted]
+
+    def by_place(header: list[str]) -> list[list[int]]:
+        layouts = {len(names): names for names in reversed(_layouts(wanted, feed))}
+        if len(header) not in layouts:
+            said = " or ".join(str(len(names)) for names in _layouts(wanted, feed))
+            raise ValueError(f"it has {len(header)} columns, its contract names {said}")
+        names = layouts[len(header)]
+        return [[names.index(n)] if n in names else [] for n in wanted]
+
+    def by_expected(header: list[str]) -> list[list[int]]:
+        have = [Hd.normalize_header(h, feed.headers) for h in header]
+        lost = [h for h in feed.expected if h not in have and h not in feed.optional and h not in feed.dropped]
+        unknown = [h for h in have if h not in feed.expected]
+        if lost or unknown:
+            raise ValueError(f"it lacks {lost} and has unknown {unknown}")
+        return [[i for i, h in enumerate(have) if h == e] for e in feed.expected if e not in feed.dropped]
+
+    def by_vocabulary(header: list[str]) -> list[list[int]]:
+        if feed.first_header and header:
+            header = [feed.first_header, *header[1:]]
+        rank = {word: i for i, word in enumerate(feed.vocabulary)}
+        names = [feed.vocabulary.get(h) or Hd.normalize_header(h, feed.headers) for h in header]
+        names = [feed.renames.get(n, n) for n in names]
+        lost = [k for k in keys if k not in names]
+        if lost:
+            raise ValueError(f"it lacks {lost}, by which its rows are merged")
+        places = {n: [i for i, name in enumerate(names) if name == n] for n in wanted}
+        return [sorted(places[n], key=lambda i: (rank.get(header[i], len(rank)), i)) for n in wanted]
+
+    resolve = by_vocabulary if not feed.positional else by_expected if feed.expected else by_place
+    columns = wanted[: len(feed.expected) - len(feed.dropped)] if feed.positional and feed.expected else wanted
+    period = (feed.period_sheet, *feed.period[:2]) if feed.period else None
+    return W.SheetRule(feed.sheet, feed.header_row, tuple(columns), resolve, period)
+
+
 def grid_of(spark: SparkSession, feed: Feed, paths: list[str] | str) -> DataFrame:
     """The cells of all files: (path, sheet, row_no, cells)."""
     if feed.reader == "csv":
@@ -248,15 +338,16 @@ def grid_of(spark: SparkSession, feed: Feed, paths: list[str] | str) -> DataFram
 
 def shape_grid(grid: DataFrame, feed: Feed, schema: T.StructType, **tags: object) -> DataFrame:
     """Contract rows of a grid; ``tags`` add store, folder or load time."""
-    dated = ("start_date", "end_date") if feed.period else ()
-    wanted = [n for n in schema.fieldNames() if n not in tags and n not in dated]
+    if feed.period_sheet is not None or feed.first_header is not None:
+        raise ValueError("the feed needs whole workbooks: use rows or shape_books")
+    wanted = _own_columns(feed, schema, tags)
     head, data = feed.header_row, feed.header_row + 1
     if feed.positional and not feed.expected:
         body = R.table_by_place(grid, head, data, _layouts(wanted, feed))
     elif feed.positional:
         body = _by_expected(grid, feed, wanted)
     else:
-        body = _by_vocabulary(grid, feed, wanted, [k for k in feed.keys if k not in tags and k not in dated])
+        body = _by_vocabulary(grid, feed, wanted, [k for k in feed.keys if k in wanted])
     if feed.period:
         row, col, *_ = feed.period
         body = with_period(body, R.preamble_value(grid, row, col, "period"), feed)
@@ -322,6 +413,8 @@ def _lines(df: DataFrame, feed: Feed) -> DataFrame:
 
 def read(spark: SparkSession, feed: Feed, paths: list[str] | str) -> DataFrame:
     """Raw report rows: text columns under their printed headers, with file path."""
+    if feed.period_sheet is not None or feed.first_header is not None:
+        raise ValueError("the feed needs whole workbooks: use rows or shape_books")
     if feed.reader == "csv":
         return R.read_report_csv(spark, paths)
     if feed.reader == "csv_preamble":
@@ -434,14 +527,18 @@ def _typed_rows(named: DataFrame, feed: Feed, schema: T.StructType) -> DataFrame
 
 def with_period(df: DataFrame, cells: DataFrame, feed: Feed) -> DataFrame:
     """Start and end date from the file's period cell; ``cells`` is (path, period)."""
+    return _dated(df.join(cells, "path", "left"), feed).drop("path")
+
+
+def _dated(df: DataFrame, feed: Feed) -> DataFrame:
+    """Start and end date in place of the text ``period``."""
     _, _, fmt, sep, prefix = feed.period
-    joined = df.join(cells, "path", "left")
     if fmt == "id":
         parts = F.split("period", f"\\Q{sep}\\E")
         start, end = (D.parse_id_date(F.try_element_at(parts, F.lit(i))) for i in (1, -1))
     else:
         start, end = D.split_date_range(F.col("period"), fmt, sep, prefix)
-    return joined.withColumns({"start_date": start, "end_date": end}).drop("period", "path")
+    return df.withColumns({"start_date": start, "end_date": end}).drop("period")
 
 
 def load(

@@ -3,6 +3,10 @@
 Workbooks are read as binary files, many per task, and each is streamed through
 the standard library's zip and XML readers. The format itself bounds a sheet to
 1,048,576 rows; rows leave in batches, so no sheet is held whole.
+
+``sheet_rows`` takes several tables from one parse of a file: each by a rule
+that says where its sheet, header, data and period cell are and which columns
+are wanted. Only the wanted cells leave the task.
 """
 
 from __future__ import annotations
@@ -11,11 +15,14 @@ import datetime as dt
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_ROWS = 4096
 GRID_SCHEMA = "path string, sheet string, row_no bigint, cells array<string>"
@@ -156,9 +163,117 @@ def _grid_batches(path: str, content: bytes, sheet: str | int | None) -> Iterato
 
 def read_workbook_grid(spark: SparkSession, paths: list[str] | str, sheet: str | int | None = None) -> DataFrame:
     """Grid of all workbook files below the paths."""
-    files = (
+    return workbook_grid(workbook_files(spark, paths), sheet)
+
+
+@dataclass(frozen=True)
+class SheetRule:
+    """One table of a workbook: where it stands and which columns are wanted.
+
+    ``resolve`` gets the trimmed header texts (without empty ones at the end)
+    and gives, for each wanted column, the places whose first cell with a value
+    counts; it raises ValueError for a header that is refused. ``period`` is a
+    cell: sheet (None for the table's own), row and column. Rows are those from
+    ``data_row`` (the row after the header) to ``last_row`` (exclusive).
+    """
+
+    sheet: str | int
+    header_row: int
+    columns: tuple[str, ...]
+    resolve: Callable[[list[str]], list[list[int]]]
+    period: tuple[str | int | None, int, int] | None = None
+    data_row: int | None = None
+    last_row: int | None = None
+
+
+ROWS_SCHEMA = "rule string, path string, sheet string, row_no bigint, period string, values array<string>"
+
+
+def sheet_rows(files: DataFrame, rules: dict[str, SheetRule]) -> DataFrame:
+    """The rows of all rules from one parse of each workbook held as (path, content).
+
+    ``values`` holds the rule's columns in order. A workbook that lacks a rule's
+    sheet or header row, or whose header the rule refuses, fails the job with its
+    path.
+    """
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                yield from _ruled_batches(path, content.as_py(), rules)
+
+    return files.select("path", "content").mapInArrow(parse, ROWS_SCHEMA)
+
+
+def _found(sheets: list[tuple[str, str]], wanted: str | int) -> tuple[str, str]:
+    """Name and part of a sheet, by its place, its name or its name in another case."""
+    if isinstance(wanted, int):
+        if wanted < len(sheets):
+            return sheets[wanted]
+    else:
+        for same in (lambda name: name == wanted, lambda name: name.casefold() == wanted.casefold()):
+            for name, part in sheets:
+                if same(name):
+                    return name, part
+    raise ValueError(f"it has no sheet {wanted}")
+
+
+def _ruled_batches(path: str, content: bytes, rules: dict[str, SheetRule]) -> Iterator[pa.RecordBatch]:
+    book = zipfile.ZipFile(io.BytesIO(content))
+    shared, sheets = _shared_texts(book), _sheets(book)
+    for label, rule in rules.items():
+        try:
+            name, part = _found(sheets, rule.sheet)
+            period = None
+            if rule.period is not None:
+                at, row, col = rule.period
+                period = _one_cell(book, part if at is None else _found(sheets, at)[1], shared, row, col)
+            rows, places = [], None
+            for row_no, cells in _sheet_rows(book, part, shared):
+                if row_no == rule.header_row:
+                    header = [(c or "").strip() for c in cells]
+                    while header and not header[-1]:
+                        header.pop()
+                    places = rule.resolve(header)
+                first = rule.header_row + 1 if rule.data_row is None else rule.data_row
+                if row_no < first or (rule.last_row is not None and row_no >= rule.last_row):
+                    continue
+                if places is None:
+                    raise ValueError(f"it has no header at row {rule.header_row}")
+                values = [next((cells[i] for i in own if i < len(cells) and cells[i] is not None), None) for own in places]
+                rows.append((label, path, name, row_no, period, values))
+                if len(rows) == BATCH_ROWS:
+                    yield _ruled(rows)
+                    rows = []
+        except ValueError as error:
+            raise ValueError(f"report {path} is refused: {error}") from error
+        if rows:
+            yield _ruled(rows)
+
+
+def _ruled(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.string())]
+    columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.record_batch(columns, names=["rule", "path", "sheet", "row_no", "period", "values"])
+
+
+def _one_cell(book: zipfile.ZipFile, part: str, shared: list[str], row: int, col: int) -> str | None:
+    for row_no, cells in _sheet_rows(book, part, shared):
+        if row_no >= row:
+            return cells[col] if row_no == row and col < len(cells) else None
+    return None
+
+
+def rule_table(rows: DataFrame, label: str, rule: SheetRule) -> DataFrame:
+    """The columns of one rule, with ``path`` and, if it has one, ``period``."""
+    kept = ["path", "period"] if rule.period is not None else ["path"]
+    return rows.where(F.col("rule") == label).select(*kept, *[F.get("values", F.lit(i)).alias(c) for i, c in enumerate(rule.columns)])
+
+
+def workbook_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(path, content) of all workbook files below the paths."""
+    return (
         spark.read.format("binaryFile")
         .options(pathGlobFilter="*.xlsx", recursiveFileLookup="true")
         .load(paths)
     )
-    return workbook_grid(files, sheet)

@@ -8,7 +8,7 @@ PYTHON_ROWS = {"html_elements", "scan_workbook_grid", "category_page", "feed_bil
 STORED = {  # run eagerly against folders; their read-back plan says nothing
     name
     for name in QUERIES
-    if name.startswith(("sink_", "stream_", "merge_", "scan_report", "scan_preamble"))
+    if name.startswith(("sink_", "stream_", "merge_", "scan_report", "scan_preamble", "feed_traffic"))
 }
 
 

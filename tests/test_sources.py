@@ -167,3 +167,26 @@ def test_work_folder_uses_the_named_shared_folder(spark):
     assert work_folder(Named, "x").startswith("hdfs://shared/dir/bazaar/x-")
     assert work_folder(spark, "x") != work_folder(spark, "x")
     assert os.path.dirname(work_folder(spark, "x")) == os.path.dirname(work_folder(spark, "y"))
+
+
+def test_one_parse_gives_header_period_and_body(spark, tmp_path, monkeypatch):
+    from bazaar.sources import workbooks as W
+
+    table = [["t"], ["kode", "Nama", "x"], ["1", "a", "p"], ["2", None, "q"], ["3", "c", "r"]]
+    put(tmp_path, "a.xlsx", workbook({"Satu": table, "Meta": [["-"], ["Mei"]]}))
+    put(tmp_path, "b.xlsx", workbook({"Meta": [["-"], ["Juni"]], "SATU": [["t"], ["Nama", "kode"], ["z", "9"]]}))
+
+    def resolve(header):
+        return [[header.index(h)] if h in header else [] for h in ("kode", "Nama", "x")]
+
+    rule = W.SheetRule("Satu", 1, ("k", "n", "x"), resolve, ("Meta", 1, 0), last_row=4)
+    every = W.SheetRule(0, 0, ("first",), lambda header: [[0]])
+    rows = W.sheet_rows(W.workbook_files(spark, str(tmp_path)), {"one": rule, "two": every})
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Scan") == 1
+    one = W.rule_table(rows, "one", rule).drop("path").orderBy("k").collect()
+    assert [tuple(r) for r in one] == [("Mei", "1", "a", "p"), ("Mei", "2", None, "q"), ("Juni", "9", "z", None)]
+    assert W.rule_table(rows, "two", every).count() == 4 + 1
+    for bad, why in ((W.SheetRule("Tiga", 0, (), resolve), "no sheet Tiga"), (W.SheetRule("Satu", 9, ("k",), resolve, data_row=0), "no header at row 9")):
+        with pytest.raises(Exception, match=f"refused: it has {why}"):
+            W.sheet_rows(W.workbook_files(spark, str(tmp_path)), {"r": bad}).collect()
