@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from bazaar.checks.registry import check, table
 from bazaar.session import work_folder
 from bazaar.streaming import retries as Rt
+from bazaar.streaming import retry_state as Rs
 from bazaar.streaming.upserts import stream_upsert as run_upsert
 
 _FIELDS = """
@@ -135,3 +138,51 @@ def stream_resume(spark, d):
         parsed = Rt.parse_retry_messages(Rt.read_retry_stream(spark, "text", path=source))
         Rt.write_stream(parsed, out, offsets).awaitTermination()
     return _brief(spark.read.parquet(out))
+
+
+_COUNTED = """
+WITH gaps AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER o > INTERVAL 36 HOUR THEN 1 ELSE 0 END AS starts FROM events
+  WINDOW o AS (PARTITION BY user_id, event_type ORDER BY ts, CAST(event_id AS VARCHAR))),
+spells AS (
+  SELECT *, sum(starts) OVER (PARTITION BY user_id, event_type ORDER BY ts, CAST(event_id AS VARCHAR)) AS spell FROM gaps),
+counted AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id, event_type, spell ORDER BY ts, CAST(event_id AS VARCHAR)) AS INTEGER) AS n
+  FROM spells)
+SELECT user_id, event_type, CAST(event_id AS VARCHAR) AS failure_id, n AS retry_count,
+  CASE WHEN n <= 3 THEN 'retry' ELSE 'dead' END AS route
+FROM counted
+"""
+_ITEM = ["user_id", "event_type"]
+
+
+def work_failures(spark, d):
+    """Events as failures of the work item (user, kind); every fifth message is sent twice."""
+    every = table(spark, d, "events").select(
+        *_ITEM, F.col("event_id").cast("string").alias("failure_id"), F.col("ts").cast("timestamp").alias("failed_at")
+    )
+    return every.union(every.where("cast(failure_id as bigint) % 5 = 0"))
+
+
+def _counts(df):
+    return df.select(*_ITEM, "failure_id", "retry_count", "route")
+
+
+@check("retry_state_batch", _COUNTED)
+def retry_state_batch(spark, d):
+    return _counts(Rs.count_retries_batch(work_failures(spark, d), _ITEM, dt.timedelta(hours=36)))
+
+
+@check("stream_retry_state", _COUNTED)
+def stream_retry_state(spark, d):
+    """The counters kept in state over three runs on one checkpoint."""
+    source, out, offsets = (work_folder(spark, n) for n in ("failures", "counted", "offsets"))
+    failures = work_failures(spark, d)
+    day = F.to_date("failed_at")
+    with Rs.with_rocks(spark):
+        for span in (day < "2024-01-11", (day >= "2024-01-11") & (day < "2024-01-21"), day >= "2024-01-21"):
+            failures.filter(span).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(failures.schema).parquet(source)
+            counted = Rs.count_retries(stream, _ITEM, dt.timedelta(hours=36))
+            Rt.write_stream(counted, out, offsets).awaitTermination()
+    return _counts(spark.read.parquet(out))
