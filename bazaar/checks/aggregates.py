@@ -125,3 +125,25 @@ SELECT DISTINCT unnest([user_id, CAST(json_extract(props, '$.k') AS BIGINT)]) AS
 def distinct_users(spark, d):
     sections = F.array(F.col("user_id"), F.from_json("props", "k bigint").getField("k"))
     return users_of(table(spark, d, "events").select(F.explode(sections).alias("username")))
+
+
+@check(
+    "paged_set",
+    """
+WITH e AS (SELECT DISTINCT l_returnflag, l_partkey FROM lineitem),
+o AS (SELECT l_returnflag, count(*) AS n FROM e GROUP BY 1)
+SELECT l_returnflag, n AS n_values, CAST(ceil(n / 100.0) AS BIGINT) AS n_pages, least(n, 100) AS longest,
+  (SELECT CAST(sum(l_partkey) AS BIGINT) FROM e WHERE e.l_returnflag = o.l_returnflag) AS total
+FROM o
+""",
+)
+def paged_set(spark, d):
+    """The sets of three owners in pages of a hundred, put together again."""
+    pages = R.paged_set(table(spark, d, "lineitem"), "l_returnflag", "l_partkey", 100)
+    whole = pages.groupBy("l_returnflag").agg(
+        F.sum(F.size("values")).cast("bigint").alias("n_values"),
+        F.count_distinct("page").alias("n_pages"),
+        F.max(F.size("values")).cast("bigint").alias("longest"),
+        F.sum(F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("total"),
+    )
+    return whole

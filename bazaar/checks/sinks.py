@@ -8,6 +8,7 @@ from bazaar.checks.registry import LINE_KEY, LINE_ORDER, check, table
 from bazaar.operators.contracts import contract
 from bazaar.session import work_folder
 from bazaar.sinks import indexed as I
+from bazaar.sinks import observed as Ob
 from bazaar.sinks import tables as K
 
 _OLDEST = ", ".join(LINE_ORDER)
@@ -262,3 +263,28 @@ def merge_indexed(spark, d):
     for load, rows in (("late", late), ("new", new), ("late", new)):
         I.merge_indexed(spark, rows, path, load)
     return I.read_indexed(spark, path)
+
+
+@check(
+    "load_observed",
+    """
+WITH j AS (
+  SELECT *, CASE WHEN NOT l_quantity > 2 THEN 'no quantity' WHEN NOT l_discount < 0.1 THEN 'discount' END AS reason FROM lineitem),
+kept AS (SELECT * FROM j WHERE reason IS NULL)
+SELECT CAST(count_if(reason IS NULL) AS BIGINT) AS loaded_rows, CAST(count_if(reason IS NOT NULL) AS BIGINT) AS rejected_rows,
+  CAST(count_if(reason = 'no quantity') AS BIGINT) AS no_quantity, CAST(count_if(reason = 'discount') AS BIGINT) AS discount,
+  (SELECT count(*) FROM kept) AS n_table, (SELECT CAST(sum(l_orderkey) AS BIGINT) FROM kept) AS keys
+FROM j
+""",
+)
+def load_observed(spark, d):
+    """Counts taken while writing, next to those of the table read back."""
+    path = work_folder(spark, "observed")
+    items = table(spark, d, "lineitem")
+    rules = {"no quantity": F.col("l_quantity") > 2, "discount": F.col("l_discount") < 0.1}
+    report = Ob.load_observed(items, rules, path)
+    back = Ob.loaded(spark, path, items.schema).agg(F.count("*").alias("n_table"), F.sum("l_orderkey").alias("keys"))
+    by = F.col("rejected_by")
+    return report.join(back).select(
+        "loaded_rows", "rejected_rows", by["no quantity"].alias("no_quantity"), by["discount"].alias("discount"), "n_table", "keys"
+    )

@@ -11,7 +11,7 @@ from bazaar.functions.nested import explode_rows
 from bazaar.operators import contracts as C
 from bazaar.session import work_folder
 from bazaar.sinks import tables as K
-from bazaar.sources import files, payloads, reports
+from bazaar.sources import files, ledger, payloads, reports
 from bazaar.sources.workbooks import workbook_grid
 
 ORDERS_SQL = """
@@ -213,3 +213,28 @@ def csv_multiline(spark, d):
     path = work_folder(spark, "multiline-csv")
     K.export_csv(table(spark, d, "documents").select("doc_id", "text", "lang"), path)
     return reports.read_report_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@check(
+    "arrival_ledger",
+    """
+SELECT 'first' AS load, o_orderkey FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'second', o_orderkey FROM orders WHERE o_orderkey % 2 <> 0
+UNION ALL SELECT 'again', o_orderkey FROM orders WHERE o_orderkey % 2 = 0
+""",
+)
+def arrival_ledger(spark, d):
+    """Two loads, each of what had arrived; a repeat of the first gets the same files, a third load none."""
+    base, book = work_folder(spark, "arrived"), work_folder(spark, "ledger")
+    orders = table(spark, d, "orders").select("o_orderkey")
+    claimed = {}
+    for load, part in (("first", "o_orderkey % 2 = 0"), ("second", "o_orderkey % 2 <> 0")):
+        orders.where(part).write.mode("append").parquet(base)
+        claimed[load] = ledger.paths(ledger.claim(spark, book, base, load, "*.parquet"))
+    claimed["again"] = ledger.paths(ledger.claim(spark, book, base, "first", "*.parquet"))
+    claimed["third"] = ledger.paths(ledger.claim(spark, book, base, "third", "*.parquet"))
+    out = orders.limit(0).select(F.lit("").alias("load"), "o_orderkey")
+    for load, paths in claimed.items():
+        if paths:
+            out = out.union(spark.read.schema(orders.schema).parquet(*paths).select(F.lit(load), "o_orderkey"))
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -111,3 +111,24 @@ def health_layout() -> dict[str, int]:
 def joined_set(df: DataFrame, keys: list[str], value: str, out: str, sep: str = " , ") -> DataFrame:
     """Distinct values per owner as one separated text (see ``array_by`` for its bound)."""
     return array_by(df, keys, value, out).withColumn(out, F.array_join(out, sep))
+
+
+def paged_set(df: DataFrame, owner: str, value: str, size: int = 1000, buckets: int = 256) -> DataFrame:
+    """Distinct values per owner as pages: (owner, page, values), ``size`` values in a page, fewer in the last one.
+
+    An owner may have any number of values. They are numbered within buckets
+    of their hash, so that no task holds an owner's set; the sizes of an owner's
+    buckets (one row each) give every bucket its first number. Values stand in
+    order of bucket, then value. NULL values are left out; a NULL owner is one.
+    """
+    edges = df.where(F.col(value).isNotNull()).select(F.col(owner).alias("owner"), F.col(value).alias("value")).distinct()
+    edges = edges.withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(buckets)))
+    numbered = edges.withColumn("at", F.row_number().over(Window.partitionBy("owner", "bucket").orderBy("value")))
+    sizes = edges.groupBy("owner", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("owner").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("owner").alias("of"), F.col("bucket").alias("of_bucket"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    same = F.col("owner").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("of_bucket"))
+    number = F.col("start") + F.col("at") - 1
+    placed = numbered.join(starts, same).select("owner", F.floor(number / size).alias("page"), F.struct("bucket", "value").alias("x"))
+    pages = placed.groupBy("owner", "page").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    return pages.select(F.col("owner").alias(owner), "page", F.transform("xs", lambda x: x["value"]).alias("values"))

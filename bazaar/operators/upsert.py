@@ -56,7 +56,11 @@ def one_per_key(
     if null_safe:
         return dedupe(source, keys, order, keep)
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return dedupe(source.dropna(subset=keys), keys, order, keep).unionByName(source.filter(has_null))
+    lone = "_lone"
+    while lone in source.columns:
+        lone += "_"
+    alone = source.withColumn(lone, F.when(has_null, F.monotonically_increasing_id()))  # a key of its own for each
+    return dedupe(alone, [*keys, lone], order, keep).drop(lone)
 
 
 def upsert(
@@ -77,47 +81,26 @@ def upsert(
     checked to have unique keys, unless the caller has ``checked`` that already.
     """
     rows = source if checked else one_per_key(source, keys, dedupe_order, null_safe, keep)
-    if null_safe:
-        return _merge(target, rows, source, keys, update_columns)
-    # Rows with a NULL key part match nothing and are added as they are. The others
-    # hold no NULL, so the null-safe match finds exactly the equal keys for them.
-    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    merged = _merge(target, rows.dropna(subset=keys), source.dropna(subset=keys), keys, update_columns)
-    return merged.unionByName(
-        rows.filter(has_null).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    )
-
-
-def _merge(
-    target: DataFrame, rows: DataFrame, source: DataFrame, keys: list[str], update_columns: list[str] | None
-) -> DataFrame:
-    """Null-safe merge of ``rows`` (one per key); ``source`` has the same keys, repeated or not.
-
-    The match stays a null-safe one on purpose: its shuffle differs from the
-    dedupe's, so both join sides are fresh shuffles and AQE may split a hot key.
-    """
     columns = target.columns
     changed = set(update_columns if update_columns is not None else columns)
-    n = len(keys)
-    incoming = rows.select(
-        *_keys(source, target, keys, "_s"),
-        *[F.col(f.name).cast(f.dataType).alias(f"_new_{f.name}") for f in target.schema.fields],
-        F.lit(True).alias("_hit"),
-    )
-    current = target.select(*_keys(target, source, keys, "_t"), *columns)
-    updated = current.join(incoming, _match(n, "_t", "_s"), "left").select(
+    # One struct, so that both joins need the same columns of the source and share one shuffle of it.
+    new = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    incoming = rows.select(*_keys(rows, target, keys, "_s"), new.alias("_new"))
+    current = target.select(*_keys(target, rows, keys, "_t"), *columns)
+    # The match is null-safe in any case: its shuffle differs from the dedupe's, so both join sides are fresh
+    # shuffles and AQE may split a hot key. Strict keys add that none is NULL: said of the left side, where it
+    # filters nothing before the join, so both joins still read the same rows of the source.
+    def match(left: str) -> Column:
+        strict = [] if null_safe else [F.col(f"{left}{i}").isNotNull() for i in range(len(keys))]
+        return reduce(lambda a, b: a & b, strict, _match(len(keys), "_t", "_s"))
+
+    updated = current.join(incoming, match("_t"), "left").select(
         *[
-            (F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) if c in changed else F.col(c)).alias(c)
+            (F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)) if c in changed else F.col(c)).alias(c)
             for c in columns
         ]
     )
-    # Keys the target already has, cut down to those the source asks about.
-    known = (
-        target.select(*_keys(target, source, keys, "_t"))
-        .join(source.select(*_keys(source, target, keys, "_s")), _match(n, "_t", "_s"), "left_semi")
-        .distinct()
-    )
-    added = incoming.join(known, _match(n, "_s", "_t"), "left_anti").select(
-        *[F.col(f"_new_{c}").alias(c) for c in columns]
-    )
+    # Of the target only its keys, each once for a task, so a hot one costs nothing extra.
+    known = target.select(*_keys(target, rows, keys, "_t")).distinct()
+    added = incoming.join(known, match("_s"), "left_anti").select(*[F.col("_new")[c].alias(c) for c in columns])
     return updated.unionByName(added)

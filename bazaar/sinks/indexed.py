@@ -20,32 +20,24 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar.operators.upsert import one_per_key, upsert
+from bazaar.sinks import versions
+from bazaar.sinks.versions import LoadConflictError
+
+__all__ = ["LoadConflictError", "create_indexed", "drop_old", "merge_indexed", "read_indexed"]
 
 SLOT_ROWS = 4000
 FILE_ROWS = 1_000_000
 _BITS = 32768
-_DIGITS = 12
-
-
-class LoadConflictError(RuntimeError):
-    """Another load published a version first; repeat this one."""
-
-
-def _file_system(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Numbers of the published versions, oldest first."""
-    folder, fs = _file_system(spark, f"{path}/versions")
-    return sorted(x.getPath().getName() for x in fs.listStatus(folder)) if fs.exists(folder) else []
+    return versions.names(spark, f"{path}/versions")
 
 
 def _layout(spark: SparkSession, path: str) -> dict:
@@ -112,27 +104,11 @@ def _write_files(df: DataFrame, path: str, load: str, keys: list[str], slots: in
 
 
 def _publish(spark: SparkSession, path: str, files: DataFrame, load: str, number: int) -> None:
-    """Write a version aside, then rename it into place. The number is the lock: who comes second is refused."""
-    aside = f"{path}/aside/{load}"
-    files.select("file", "n").coalesce(1).write.mode("overwrite").parquet(aside)
-    source, fs = _file_system(spark, aside)
-    target, _ = _file_system(spark, f"{path}/versions/{number:0{_DIGITS}d}")
-    fs.mkdirs(target.getParent())
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    never = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    never[0] = hadoop.Options.Rename.NONE  # an existing version is never written over
-    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    try:
-        context.rename(fs.makeQualified(source), fs.makeQualified(target), never)
-    except Py4JJavaError as error:
-        if not fs.exists(target):
-            raise
-        raise LoadConflictError(f"version {number} of {path} was published by another load") from error
+    versions.publish(spark, files.select("file", "n"), f"{path}/aside/{load}", f"{path}/versions", number)
 
 
 def _done(spark: SparkSession, path: str, load: str) -> bool:
-    folder, fs = _file_system(spark, f"{path}/loads/{load}")
-    return fs.exists(folder)
+    return versions.exists(spark, f"{path}/loads/{load}")
 
 
 def _touched(rows: DataFrame, index: DataFrame, live: DataFrame, keys: list[str], slots: int, null_safe: bool) -> DataFrame:
@@ -169,8 +145,7 @@ def create_indexed(
 def _finish(spark: SparkSession, path: str, load: str, kept: DataFrame, number: int) -> None:
     new = spark.read.parquet(f"{path}/index/{load}").groupBy("file").agg(F.sum("n").alias("n"))
     _publish(spark, path, kept.select("file", "n").union(new), load, number)
-    folder, fs = _file_system(spark, f"{path}/loads/{load}")
-    fs.mkdirs(folder)
+    versions.make(spark, f"{path}/loads/{load}")
 
 
 def merge_indexed(
@@ -186,10 +161,10 @@ def merge_indexed(
     """
     layout = _layout(spark, path)
     keys, slots, schema = layout["keys"], layout["slots"], T.StructType.fromJson(layout["schema"])
-    versions = _versions(spark, path)
-    if _done(spark, path, load) or _in_version(spark, path, versions[-1], load):
+    newest = _versions(spark, path)[-1]
+    if _done(spark, path, load) or _in_version(spark, path, newest, load):
         return False
-    number = int(versions[-1]) + 1
+    number = int(newest) + 1
     typed = source.select(*[(F.col(f.name) if f.name in source.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
     one_per_key(typed, keys, dedupe_order, null_safe, keep).write.mode("overwrite").parquet(f"{path}/aside/{load}-rows")
     rows = spark.read.schema(schema).parquet(f"{path}/aside/{load}-rows")
@@ -205,8 +180,7 @@ def merge_indexed(
     _write_files(merged, path, load, keys, slots, size, layout["file_rows"])
     _finish(spark, path, load, live.join(touched, "file", "left_anti"), number)
     for name in (f"{load}-rows", f"{load}-touched"):
-        folder, fs = _file_system(spark, f"{path}/aside/{name}")
-        fs.delete(folder, True)
+        versions.remove(spark, f"{path}/aside/{name}")
     return True
 
 
@@ -223,9 +197,7 @@ def drop_old(spark: SparkSession, path: str) -> list[str]:
     """
     *old, newest = _versions(spark, path)
     held = set(_loads(_live(spark, path)))
-    folder, fs = _file_system(spark, f"{path}/data")
-    gone = sorted({x.getPath().getName() for x in fs.listStatus(folder)} - held)
+    gone = sorted(set(versions.names(spark, f"{path}/data")) - held)
     for name in [f"versions/{v}" for v in old] + [f"{kind}/{load}" for load in gone for kind in ("data", "index")]:
-        at, _ = _file_system(spark, f"{path}/{name}")
-        fs.delete(at, True)
+        versions.remove(spark, f"{path}/{name}")
     return gone

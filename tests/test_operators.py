@@ -328,3 +328,39 @@ def test_a_hot_target_key_is_split(spark, null_safe):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_upsert_reads_each_side_little(spark, tmp_path, null_safe):
+    """The source once, the target twice (its rows, its keys); five shuffles, one of them used twice."""
+    target, source = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.createDataFrame([(1, "a", 1)], "k int, d string, v int").write.parquet(target)
+    spark.createDataFrame([(1, "a", 2)], "k int, d string, v int").write.parquet(source)
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        for changed in (None, ["v"]):
+            df = upsert(spark.read.parquet(target), spark.read.parquet(source), ["k", "d"], null_safe, changed, dedupe_order=["v"])
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert text.count("FileScan parquet") == 3 and text.count("SortMergeJoin") == 2
+            assert text.count(f"paths)[file:{source}") == 1 and text.count(f"paths)[file:{target}") == 2
+            assert text.count("ReusedExchange") == 1 and text.count("Exchange hashpartitioning") == 5 + 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_sets_in_pages(spark):
+    """An owner with many values: pages are full but for the last, and no task holds the set."""
+    from bazaar.operators.reshape import paged_set
+
+    big = spark.range(200_000).select(F.lit("o").alias("owner"), (F.col("id") % 100_003).cast("string").alias("tag"))
+    small = spark.createDataFrame([("p", "x"), ("p", "x"), (None, "y"), ("q", None)], "owner string, tag string")
+    pages = paged_set(big.union(small), "owner", "tag", 500)
+    got = pages.groupBy("owner").agg(F.sum(F.size("values")).alias("n"), F.count("*").alias("pages"), F.max(F.size("values")).alias("most"))
+    assert {(r.owner, r.n, r.pages, r.most) for r in got.collect()} == {("o", 100_003, 201, 500), ("p", 1, 1, 1), (None, 1, 1, 1)}
+    assert pages.select(F.explode("values")).distinct().count() == 100_005
+    sizes = pages.where("owner = 'o'").select("page", F.size("values").alias("n")).orderBy("page").collect()
+    assert [r.page for r in sizes] == list(range(201)) and all(r.n == 500 for r in sizes[:-1])
