@@ -8,7 +8,8 @@ from bazaar.checks.registry import check, day_text, table
 from bazaar.functions import html as H
 from bazaar.functions import text as X
 from bazaar.functions.numbers import gap_percent
-from bazaar.plans import catalogue, enrich, reconcile
+from bazaar.plans import catalogue, coverage_bitmaps, enrich, reconcile
+from bazaar.session import work_folder
 
 FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 
@@ -78,6 +79,34 @@ def reconcile_coverage(spark, d):
     )
 
 
+@check(
+    "reconcile_incremental",
+    COVERAGE_SQL
+    + """
+SELECT official_store, count(DISTINCT order_date) AS n_days,
+  string_agg(DISTINCT strftime(order_date, '%Y-%m-%d'), ',' ORDER BY strftime(order_date, '%Y-%m-%d')) AS order_dates
+FROM coverage WHERE percent_missing <> 0.0 GROUP BY 1
+""",
+)
+def reconcile_incremental(spark, d):
+    """The same gaps from the bitmaps of three increments, the collected orders in another split than the known ones."""
+    path = work_folder(spark, "coverage")
+    latest = reconcile.latest_internal_orders(
+        internal_orders(spark, d), FIRST_DAY, LAST_DAY, ["F", "O"], ["low", "agen toko"], tie_break="price"
+    )
+    collected = collected_orders(spark, d)
+    day, number = F.col("order_date"), F.col("customer_ref") % 3
+    spans = [day < "1997-01-01", (day >= "1997-01-01") & (day < "2000-01-01"), day >= "2000-01-01"]
+    for i, span in enumerate(spans):
+        coverage_bitmaps.add_increment(latest.where(span), collected.where(number == i), path, f"l{i}")
+    gaps = reconcile.gap_days(coverage_bitmaps.read_coverage(spark, path))
+    return gaps.select(
+        "official_store",
+        F.size("order_dates").cast("bigint").alias("n_days"),
+        F.array_join(F.transform("order_dates", day_text), ",").alias("order_dates"),
+    )
+
+
 @check(
     "coverage_pct",
     COVERAGE_SQL

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bazaar.checks.registry import check, table
 from bazaar.functions import nested as J
+from bazaar.functions import variant as V
 from bazaar.sources.payloads import parse_payload
 
 LINE_ITEMS = "regexp_split_to_array(text, '\\n')"
@@ -180,3 +181,28 @@ def edge_list(spark, d):
     words = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")
     talks = table(spark, d, "conversations").withColumn("owner", F.col("conv_id").cast("string"))
     return J.edge_list(talks, "owner", "turn", F.filter(words, lambda w: F.length(w) > 8))
+
+
+@check(
+    "flatten_variant",
+    """
+SELECT o_orderkey AS id, o_totalprice AS info__total, o_orderstatus AS info__status,
+  CASE WHEN o_orderkey % 997 = 0 THEN o_orderpriority END AS late, CASE WHEN o_orderkey % 2 = 0 THEN TRUE END AS even,
+  '[' || o_custkey || ']' AS list, CASE WHEN o_orderkey % 3 = 0 THEN 'text' ELSE CAST(o_custkey AS VARCHAR) END AS either
+FROM orders
+""",
+)
+def flatten_variant(spark, d):
+    """Documents of no declared schema; some fields are in few rows, one has two types."""
+    key = F.col("o_orderkey")
+    either = F.when(key % 3 == 0, F.lit('"text"')).otherwise(F.col("o_custkey").cast("string"))
+    part = lambda name, value: F.concat(F.lit(f', "{name}": '), value)
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    body = F.concat(
+        F.lit('{"id": '), key, F.lit(', "info": {"total": '), F.col("o_totalprice").cast("decimal(18,2)"), F.lit(', "status": '),
+        text(F.col("o_orderstatus")), F.lit("}"), part("list", F.concat(F.lit("["), F.col("o_custkey"), F.lit("]"))), part("either", either),
+        F.when(key % 997 == 0, part("late", text(F.col("o_orderpriority")))).otherwise(""),
+        F.when(key % 2 == 0, part("even", F.lit("true"))).otherwise(""), F.lit("}"),
+    )
+    docs = table(spark, d, "orders").select(body.alias("payload"))
+    return V.flatten_variant(docs, "payload")
