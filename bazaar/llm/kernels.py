@@ -63,6 +63,7 @@ def slices(batch: pa.RecordBatch, text: str, size: int = CHUNK_BYTES) -> Iterato
         to = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # what the batch took goes back before the next one comes
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@
 5. Components of the verified links are the classes.
 
 The weight of a shingle in a text is its count times its inverse document
-frequency, scaled to 1..2 and rounded to an eighth of an octave.
+frequency, which is scaled to 1..2 and rounded to an eighth of an octave.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from bazaar.llm import kernels
 from bazaar.llm.components import components
-from bazaar.llm.storage import stored
+from bazaar.llm.storage import bounded_batches, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -37,10 +37,10 @@ FEATURES = 1 << 18
 BANDS, ROWS = 20, 5  # at a similarity of 0.8 a pair shares no band with probability 4e-4, at 0.9 with 1e-8
 FINE = 7 * 49  # samples of texts that stars of buckets leave apart
 _SIGMAS = 3.25  # standard deviations of the share of common samples
-_DRAWS = 4096
-_LEVELS = 25  # of weight: up to eight, in eighths of an octave; heavier shingles are drawn like weight eight
+_DRAWS = 1 << 16
+_SHIFT = np.float32(128)  # makes every score positive, so its bits order like it
 _HASH_BITS = np.uint64(44)
-_sample_tables: list[np.ndarray] = []
+_draw_tables: list[np.ndarray] = []
 
 
 def _uniform(stream: int, n: int) -> np.ndarray:
@@ -50,23 +50,17 @@ def _uniform(stream: int, n: int) -> np.ndarray:
         return (kernels.mix(kernels.mix(x)) >> np.uint64(11)).astype(np.float64) / 2.0**53 + 1e-17
 
 
-def sample_tables(count: int = BANDS * ROWS) -> list[np.ndarray]:
-    """For each of at least ``count`` hash functions: the order of the score by weight level and draw.
+def draw_tables() -> list[np.ndarray]:
+    """1 / r, r, ln c and b of the draws, from Gamma(2, 1), Gamma(2, 1) and the unit interval.
 
-    The scores are those of improved consistent weighted sampling: with r and c
-    from Gamma(2, 1) and b uniform, t = floor(ln w / r + b), and the shingle
-    with the least ln c - r (t - b + 1) is the sample, together with its t,
-    which the score of a draw determines.
+    Three fields of 16 bits of a shingle's own hash for a function pick r, c and
+    b, so a function has 2^48 distinct draws and all functions share the tables.
     """
-    if len(_sample_tables) < count:
-        weight = np.log(2.0) * np.arange(_LEVELS)[:, None] / 8
-        for k in range(len(_sample_tables), count):
-            u = [_uniform(5 * k + i, _DRAWS) for i in range(5)]
-            r, c, b = -np.log(u[0] * u[1]), -np.log(u[2] * u[3]), u[4]
-            t = np.floor(weight / r + b)
-            score = (np.log(c) - r * (t - b + 1) + 256).astype(np.float32)
-            _sample_tables.append(score.view(np.uint32).ravel())
-    return _sample_tables
+    if not _draw_tables:
+        u = [_uniform(i, _DRAWS) for i in range(5)]
+        r, c, b = -np.log(u[0] * u[1]), -np.log(u[2] * u[3]), u[4]
+        _draw_tables[:] = [x.astype(np.float32) for x in (1 / r, r, np.log(c), b)]
+    return _draw_tables
 
 
 def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,20 +111,36 @@ def idf_levels(docs: DataFrame) -> np.ndarray:
 def _drawn(
     texts: np.ndarray, hashes: np.ndarray, counts: np.ndarray, level_of: np.ndarray, n: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Where each text's shingles begin, and its first ``n`` samples."""
-    tables = sample_tables(n)
-    level = level_of[_features(hashes)] + np.rint(8 * np.log2(counts))
-    offset = np.minimum(level, _LEVELS - 1).astype(np.int64) * _DRAWS
+    """Where each text's shingles begin, and its first ``n`` samples.
+
+    Improved consistent weighted sampling with the exact weight w of a shingle:
+    t = floor(ln w / r + b), and the shingle with the least ln c - r (t - b + 1)
+    is the sample, together with its t, which the score determines.
+    """
+    inverse, shape, scale, offset = draw_tables()
+    weight = (np.log(counts) + np.log(2.0) / 8 * level_of[_features(hashes)]).astype(np.float32)
     first = np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
     samples = np.empty((len(first), n), np.uint32)
     halves = np.empty((len(hashes), 2), "<u4")  # of the number to minimise: the shingle's own hash below its score
     whole = halves.view("<u8")[:, 0]
+    score, step, place = np.empty(len(hashes), np.float32), np.empty(len(hashes), np.float32), np.empty(len(hashes), np.int64)
     with np.errstate(over="ignore"):
         odd = kernels.mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
         spread = kernels.mix(hashes.copy())
         for k in range(n):
             own = spread * odd[k]
-            halves[:, 1] = tables[k][(own >> np.uint64(52)).astype(np.int64) + offset]
+            fields = own.view("<u2").reshape(-1, 4)
+            place[:] = fields[:, 3]
+            b = offset[fields[:, 1]]
+            np.multiply(weight, inverse[place], out=score)
+            score += b
+            np.floor(score, out=step)
+            step -= b
+            step += np.float32(1)
+            step *= shape[place]
+            np.subtract(scale[fields[:, 2]], step, out=score)
+            score += _SHIFT
+            halves[:, 1] = score.view(np.uint32)
             halves[:, 0] = own >> np.uint64(8)
             samples[:, k] = kernels.mix(np.minimum.reduceat(whole, first)) & np.uint64(0xFFFFFFFF)
     return first, samples
@@ -245,6 +255,7 @@ def near_duplicates(
     table gives an empty result.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select(docs[id_column].cast("bigint").alias("id"), docs[text_column].alias("text")).where("id IS NOT NULL")
     levels = spark.sparkContext.broadcast(idf_levels(docs))
     signed = stored(_signatures(docs, levels), "signatures")
@@ -371,15 +382,24 @@ def _agreement(one: str, two: str):
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text"):
     """The rows of ``docs`` that remain when one document of each class stays: its smallest id.
 
-    All columns are kept. Rows with a null id stay. Of several rows with the id
-    that stays, one does.
+    All columns are kept, whatever they are called. Rows with a null id stay. Of
+    several rows with the id that stays, one does.
     """
     classes = near_duplicates(docs, similarity, id_column, text_column)
-    gone = classes.where("class_id <> doc_id").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_gone"))
-    keyed = docs.select(docs[id_column].cast("bigint").alias("_id"))
-    twice = keyed.groupBy("_id").count().where("count > 1 AND _id IS NOT NULL").select("_id", F.lit(True).alias("_twice"))
-    marks = stored(gone.join(twice, "_id", "full"), "marks")
-    rows = docs.withColumn("_id", F.col(id_column).cast("bigint")).join(marks, "_id", "left").where("_gone IS NULL")
-    once = rows.where("_twice IS NULL")
-    more = rows.where("_twice").dropDuplicates(["_id"])
-    return once.unionByName(more).select(*docs.columns)
+    own, gone, twice = (_unused(docs, name) for name in ("id", "gone", "twice"))
+    key = docs[id_column].cast("bigint").alias(own)
+    dropped = classes.where("class_id <> doc_id").select(F.col("doc_id").alias(own), F.lit(True).alias(gone))
+    repeated = docs.select(key).groupBy(own).agg(F.count("*").alias(twice)).where(F.col(own).isNotNull() & (F.col(twice) > 1))
+    marks = stored(dropped.join(repeated.withColumn(twice, F.lit(True)), own, "full"), "marks")
+    rows = docs.select("*", key).join(marks, own, "left").where(F.col(gone).isNull())
+    once = rows.where(F.col(twice).isNull())
+    more = rows.where(F.col(twice)).dropDuplicates([own])
+    return once.unionByName(more).select(*[f"`{c}`" for c in docs.columns])
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

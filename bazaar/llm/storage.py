@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaar.session import work_folder
 
 
+#: Bytes of an Arrow batch on its way to a Python worker; a row of more is a batch of its own.
+BATCH_BYTES = 8_000_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session send smaller Arrow batches: rows here hold whole texts, and a batch is held several times."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back."""
     spark = df.sparkSession
