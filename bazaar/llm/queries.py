@@ -241,9 +241,10 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_training_order")
 def training_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "training-order")
-    training_order.materialise(table(spark, sf_dir, "documents"), path, ORDER_KEY)
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    training_order.materialise(table(spark, sf_dir, "documents"), path, ORDER_KEY, ranks)
     found = training_order.sequences(spark, path)
-    return found.select("slot", "doc_id", "part", "n_tokens", "shard", "at", F.crc32("tokens").alias("crc32"))
+    return found.select("slot", "number", "doc_id", "skip", "n_tokens", "shard", "at", F.crc32("tokens").alias("crc32"))
 
 
 @query("op11_token_alignment")
