@@ -80,6 +80,52 @@ def test_near_duplicates(docs):
     assert {i for i, (c, _) in found.items() if c == i} == {1, 4, 5, 6, 7, 8, 10, 11, 12, 13}
 
 
+@pytest.mark.parametrize("size, seed", [(400, 1), (4000, 2), (17000, 3)])
+def test_samples_of_long_texts(size, seed):
+    """The share of common samples is the weighted Jaccard similarity at every length."""
+    import pyarrow as pa
+
+    level, rng = np.full(near_dedup.FEATURES, 4, np.uint8), random.Random(seed)
+    shared = [f"s{rng.randrange(10**9)}" for _ in range(int(size * 0.8 / 0.9))]
+    pair = pa.array([" ".join([*shared, *[f"{x}{rng.randrange(10**9)}" for _ in range(size - len(shared))]]) for x in "ab"])
+    texts, hashes, counts = near_dedup.weighted_shingles(pair)
+    _, samples = near_dedup._drawn(texts, hashes, counts, level, 1000)
+    (true,) = near_dedup.weighted_jaccard(pair.slice(0, 1), pair.slice(1, 1), level)
+    assert abs((samples[0] == samples[1]).mean() - true) < 4 * (true * (1 - true) / 1000) ** 0.5
+
+
+def test_near_duplicates_of_heavy_and_long_texts(spark):
+    """Shingles repeated hundreds of times, and texts of 20,000 words: no link at or above the threshold is lost."""
+    import pyarrow as pa
+
+    rng, rows = random.Random(9), []
+    for group in range(4):
+        chorus = " ".join(" ".join(f"g{group}r{i}x{j}" for j in range(5)) for i in range(10) for _ in range(300))
+        rows += [f"{chorus} " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(300)) for _ in range(3)]
+    for group in range(3):
+        base = words(200 + group, 20_000, 10**6)
+        for changes in (0, 150, 300):
+            text = list(base)
+            for at in rng.sample(range(len(text)), changes):
+                text[at] = f"new{rng.randrange(10**9)}"
+            rows.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3)
+    level = near_dedup.idf_levels(docs.select("doc_id", "text"))
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if a // 3 == b // 3]
+    close = near_dedup.weighted_jaccard(*(pa.array([rows[p[i]] for p in pairs]) for i in (0, 1)), level)
+    assert (close >= 0.8).sum() > 15
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    for (a, b), similarity in zip(pairs, close, strict=True):
+        assert similarity < 0.8 or found[a] == found[b], (a, b, similarity)
+    assert len(set(found.values())) >= 7
+
+
+def test_deduplicated_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", "x", 1, True), (2, "a b c d e f", "y", 2, False), (3, "other words here", "z", 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id string, gone int, twice boolean")
+    assert sorted(map(tuple, near_dedup.deduplicated(docs).collect())) == [rows[0], rows[2]]
+
+
 def test_near_duplicates_keep_one_row(docs):
     kept = [r.doc_id for r in near_dedup.deduplicated(docs).collect()]
     assert sorted(kept, key=lambda i: i or 0) == [None, None, 1, 4, 5, 6, 7, 8, 10, 11, 12, 13]
@@ -246,6 +292,67 @@ def test_chat(spark):
     assert all(json.loads(r.json) is not None for r in got.values())
 
 
+def test_no_message_is_lost(spark):
+    """Every message, or every call of it, is in exactly one row: malformed, empty, mixed and repeated ones too."""
+    draw = random.Random(4)
+    call = lambda i, **more: {"id": i, "name": "search", "arguments": {"query": f"q{draw.random()}"}, "needs": [], **more}
+    texts = [
+        '{"tool_calls": [', '{"tool_calls": []}', '{ "tool_calls": [null]}', '{"other": 1}', "{", "plain", "", None,
+        json.dumps({"tool_calls": [call("a"), call("b")]}), json.dumps({"content": "beside", "tool_calls": [call("a")]}),
+        ' { "tool_calls" : [' + json.dumps(call("c")) + "]}", "no json", json.dumps({"tool_call_id": "a", "content": "r"}),
+        json.dumps({"tool_call_id": "z", "content": None}), json.dumps({"content": "nameless"}),
+    ]
+    rows = [
+        (draw.choice([1, 2, None]), draw.choice([0, 1, 2, 3, None]), draw.choice(["user", "assistant", "tool", "system", None]), draw.choice(texts))
+        for _ in range(400)
+    ]
+    want = collections.Counter()
+    for conv, turn, role, text in rows:
+        try:
+            parsed = json.loads(text) if text and text.lstrip().startswith("{") else None
+        except ValueError:
+            parsed = None
+        calls = (parsed or {}).get("tool_calls") or []
+        if role == "assistant" and calls and None not in calls:
+            want.update((conv, turn, "call", c["arguments"]["query"]) for c in calls)
+            if parsed.get("content") is not None:
+                want[conv, turn, "message", parsed["content"]] += 1
+        elif role == "tool" and parsed and parsed.get("tool_call_id") is not None:
+            want[conv, turn, "result", parsed.get("content")] += 1
+        else:
+            want[conv, turn, {"user": "call", "assistant": "result"}.get(role, "message"), text] += 1
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    got = collections.Counter()
+    for r in chat.formatted(table, queries.TOOLS).collect():
+        body = json.loads(r.json)
+        if r.status == "message":
+            got[r.conv_id, r.turn, "message", body["text"]] += 1
+            continue
+        if body["arguments"] is not None:
+            (said,) = body["arguments"].values() or (None,)
+            got[r.conv_id, r.turn, "call", said] += 1
+        if r.status in ("linked", "early", "orphan") or r.status == "repeated" and body["arguments"] is None:
+            got[r.conv_id, r.result_turn, "result", body["result"]] += 1
+    assert got == want
+
+
+def test_arguments_of_all_kinds(spark):
+    schemas = {"t": {"n": ("number", False), "i": ("integer", False), "o": ("object", False), "l": ("array", False), "e": ("enum:x|y", False)}}
+    cases = [
+        ({"n": 1.0, "i": "007", "o": {"b": [1, {"a": None}], "a": "x"}, "l": [2, 1], "e": "y"}, None,
+         '{"e":"y","i":7,"l":[2,1],"n":1,"o":{"a":"x","b":[1,{"a":null}]}}'),
+        ({"n": "1e2", "i": "-0"}, None, '{"i":0,"n":100}'),
+        ({"n": 0.5, "o": [1]}, "o is no object", '{"n":0.5,"o":[1]}'),
+        ({"l": {"a": 1}}, "l is no array", '{"l":{"a":1}}'),
+        ({"e": "z"}, "e is none of x|y", '{"e":"z"}'),
+    ]
+    rows = [(i, 0, "assistant", json.dumps({"tool_calls": [{"id": "a", "name": "t", "arguments": c[0]}]})) for i, c in enumerate(cases)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for r in chat.formatted(table, schemas).collect():
+        _, problem, shown = cases[r.conv_id]
+        assert r.problem == problem and r.json.startswith(f'{{"arguments":{shown},"call_id":"a"')
+
+
 def test_pii():
     text = (
         "mail jo.do.34@mail7.example.com ip 97.51.17.173 or 999.1.1.1 card 4532015112830366 and 4532-0151-1283-0366 "
@@ -322,22 +429,46 @@ def test_quality(spark, docs, empty):
 
 
 def test_training_order(spark, docs, empty, tmp_path):
-    docs = stored(docs, "docs")
-    training_order.materialise(docs, f"file://{tmp_path}/a", key=5, length=64, per_shard=16)
+    """The ids, put in order of running numbers and cut at end marks, decode to the texts; strides and slots hold."""
+    ranks = queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    training_order.materialise(docs, f"file://{tmp_path}/a", key=5, ranks_file=ranks, length=64, per_shard=16, rounds=3)
     rows = training_order.sequences(spark, f"file://{tmp_path}/a").collect()
-    assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    pieces = collections.Counter(
-        (i, n // 64, data[n : n + 64]) for i, t in ROWS for data in [(t or "").encode()] for n in range(0, len(data), 64)
-    )
-    assert collections.Counter((r.doc_id, r.part, bytes(r.tokens)) for r in rows) == pieces
+    assert sorted(r.slot for r in rows) == sorted(r.number for r in rows) == list(range(len(rows)))
+    assert [r.slot for r in rows] != [r.number for r in rows]
+    layout = json.loads(spark.read.text(f"file://{tmp_path}/a/layout").first().value)
+    assert layout["bytes_per_token"] == 2 and layout["end_mark"] == 50256
+    tokens, starts = [], {}
+    for r in sorted(rows, key=lambda r: r.number):
+        ids = np.frombuffer(r.tokens, "<u2").tolist()
+        assert len(ids) == r.n_tokens <= 64
+        starts[len(tokens)] = (r.doc_id, r.skip)
+        tokens += ids
+    with open(ranks, "rb") as file:
+        own = training_order.encoding(file.read())
+    texts, begin, place = [], 0, {}
+    for at, token in enumerate(tokens):
+        if token == layout["end_mark"]:
+            place |= {n: (len(texts), n - begin) for n in range(begin, at + 1)}
+            texts.append(own.decode(tokens[begin:at]))
+            begin = at + 1
+    assert begin == len(tokens)
+    assert collections.Counter(texts) == collections.Counter(t for _, t in ROWS if t)
+    for at, (doc_id, skip) in starts.items():
+        assert place[at][1] == skip and (doc_id, texts[place[at][0]]) in ROWS
+    assert sum(r.n_tokens < 64 for r in rows) <= docs.rdd.getNumPartitions()
     later = training_order.sequences(spark, f"file://{tmp_path}/a", from_slot=21).collect()
     assert sorted(r.slot for r in later) == list(range(21, len(rows)))
-    layout = json.loads(spark.read.text(f"file://{tmp_path}/a/layout").first().value)
     for shard in sorted((tmp_path / "a/shards").glob("shard=*")):
         (file,) = shard.glob("part-*")
-        count = min(16, len(rows) - 16 * int(shard.name.partition("=")[2]))
-        assert file.stat().st_size == count * layout["stride"]
-    training_order.materialise(empty, f"file://{tmp_path}/b", key=5)
+        number = int(shard.name.partition("=")[2])
+        count = min(16, len(rows) - 16 * number)
+        content = file.read_bytes()
+        assert len(content) == count * layout["stride"]
+        for r in rows:  # a reader that knows the slot alone
+            if r.shard == number:
+                head = training_order.HEADER.itemsize
+                assert content[r.at + head : r.at + head + 2 * r.n_tokens] == bytes(r.tokens)
+    training_order.materialise(empty, f"file://{tmp_path}/b", key=5, ranks_file=ranks)
     assert training_order.sequences(spark, f"file://{tmp_path}/b").count() == 0
 
 
