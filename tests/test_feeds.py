@@ -265,3 +265,60 @@ def test_other_payload_shapes(spark):
         contract({"id": "INTEGER", "category__name": "STRING", "title": "STRING", "load": "STRING"}), load="d",
     ).first()
     assert tuple(layout) == (1, "c", "t", "d")
+
+
+_TAGS = {"official_store": "t", "store_name": "t", "folder": "t"}
+
+
+def _report_of(feed):
+    """Columns, cells of two rows and preamble of a small report that the feed declares."""
+    own = [k for k in feed.keys if k not in _TAGS and k not in ("start_date", "end_date")]
+    derived = [*feed.sums, *feed.remainders]
+    parts = [p for ps in (*feed.sums.values(), *feed.remainders.values()) for p in ps]
+    if feed.expected:
+        columns = list(feed.expected)
+    else:
+        columns = list(dict.fromkeys([*own, "jumlah", *[n for n in feed.optional if not feed.positional], *parts, *derived]))
+    before = [["x"] for _ in range(feed.header_row)]
+    period = None
+    if feed.period:
+        row, col, fmt, sep, prefix = feed.period
+        day = {"id": "1 Mei 2023", "yyyy-M-d": "2023-5-1", "d/M/yyyy": "1/5/2023"}[fmt]
+        period = f"{prefix}{day}{sep}{day}"
+        if feed.period_sheet is None:
+            before[row] = [None] * col + [period]
+    return columns, before, period
+
+
+@pytest.mark.parametrize("name", sorted(Fd.FEEDS))
+def test_every_declared_feed_reads_its_report(spark, tmp_path, name):
+    feed = Fd.FEEDS[name]
+    columns, before, period = _report_of(feed)
+    wanted = [c for c in columns if c not in feed.dropped]
+    kinds = {c: "INTEGER" if c == "jumlah" or c in feed.sums or c in feed.remainders else "STRING" for c in wanted}
+    kinds |= {p: "INTEGER" for ps in (*feed.sums.values(), *feed.remainders.values()) for p in ps}
+    if feed.period:
+        kinds |= {"start_date": "DATE", "end_date": "DATE"}
+    schema = contract(kinds | {k: "STRING" for k in _TAGS})
+    rows = [[str(10 * r + i) for i in range(len(columns))] for r in (1, 2)]
+    if feed.first_header:
+        columns = ["Kolom", *columns[1:]]
+    if feed.reader == "grid":
+        sheet = feed.sheet if isinstance(feed.sheet, str) else "Satu"
+        sheets = {sheet: [*before, columns, *rows]}
+        if feed.period_sheet is not None:
+            row, col, *_ = feed.period
+            sheets[feed.period_sheet] = [*[["x"] for _ in range(row)], [None] * col + [period]]
+        put(tmp_path / "r", "a.xlsx", workbook(sheets))
+    else:
+        lines = [",".join(cell or "" for cell in line) for line in [*before, columns, *rows]]
+        put(tmp_path / "r", "a.csv", "\n".join(lines) + "\n")
+    got = Fd.rows(spark, feed, str(tmp_path / "r"), schema, **_TAGS).collect()
+    assert len(got) == 2 and all(r.store_name == "t" for r in got)
+    if feed.period:
+        assert {(str(r.start_date), str(r.end_date)) for r in got} == {("2023-05-01", "2023-05-01")}
+    if "jumlah" in kinds and not feed.always_null:
+        at = columns.index("jumlah")
+        assert sorted(r.jumlah for r in got) == [10 + at, 20 + at]
+    for name_, parts in feed.sums.items():
+        assert all(r[name_] == sum(r[p] for p in parts) for r in got)
