@@ -33,8 +33,6 @@ TEMPLATES = (
 )
 LEAST_COVERAGE = 0.6
 INDEX_WORDS = 2
-#: A text that any phrase or template can stand in holds one of these (or the word cc).
-_CUES = ("licen", "rights", "permission", "redistribution")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -51,11 +49,18 @@ def document_frequencies(docs: DataFrame, text_column: str = "text") -> dict[str
     return {row.word: row.n for row in found.collect()}
 
 
+def cues() -> list[str]:
+    """Words of which one stands in every text that a phrase or template can stand in: the longest of each phrase that must stand."""
+    return sorted({max(text.split(), key=lambda w: (len(w), w)) for text in [*BASE, *(must for _, _, must in TEMPLATES)]})
+
+
 def _cue(text: Column) -> Column:
-    lower = F.lower(text)
-    found = lower.contains("cc") & text.rlike("(?<![0-9A-Za-z])[cC][cC](?![0-9A-Za-z])")
-    for cue in _CUES:
-        found = lower.contains(cue) | found
+    lower, found = F.lower(text), F.lit(False)
+    for cue in cues():
+        own = lower.contains(cue)
+        if len(cue) < 4:  # short ones are in many words
+            own = own & lower.rlike(f"(?<![0-9a-z]){cue}(?![0-9a-z])")
+        found = found | own
     return found
 
 
