@@ -8,6 +8,9 @@ from bazaar.checks.registry import LINE_KEY, LINE_ORDER, check, table
 from bazaar.functions import nested as J
 from bazaar.operators import joins as Jn
 from bazaar.operators.upsert import upsert
+from bazaar.session import work_folder
+from bazaar.sinks import tables as K
+from bazaar.sources import files
 
 
 @check(
@@ -178,7 +181,11 @@ SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
 """,
 )
 def seed_lookup(spark, d):
-    seed = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    """The seed comes from a CSV file; one of its rows has no key."""
+    path = work_folder(spark, "seed")
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    K.export_csv(nation.union(nation.limit(1).select(F.lit(None), "n_name")), path)
+    seed = files.load_seed(spark, path, "c_nationkey int, n_name string", "c_nationkey")
     customers = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     return Jn.seed_lookup(customers, seed, "c_nationkey", skip=F.col("c_nationkey") == 0).drop("c_nationkey")
 

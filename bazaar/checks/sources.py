@@ -9,6 +9,7 @@ from bazaar.checks.registry import check, day_text, table
 from bazaar.functions import text as X
 from bazaar.functions.nested import explode_rows
 from bazaar.operators import contracts as C
+from bazaar.operators.filters import has_more_than
 from bazaar.session import work_folder
 from bazaar.sinks import tables as K
 from bazaar.sources import files, ledger, payloads, reports
@@ -154,12 +155,17 @@ def partition_scan(spark, d):
 @check(
     "arrival_gate",
     """
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n_orders, count(*) > 6 AS arrived FROM orders GROUP BY 1
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n_orders, count(*) > 6 AS arrived,
+  (SELECT count(*) > 1000 FROM orders) AS all_arrived, (SELECT count(*) > 1000000000 FROM orders) AS too_many
+FROM orders GROUP BY 1
 """,
 )
 def arrival_gate(spark, d):
-    days = table(spark, d, "orders").groupBy(day_text(F.col("o_orderdate")).alias("day"))
-    return days.agg(F.count("*").alias("n_orders")).withColumn("arrived", F.col("n_orders") > 6)
+    """The gate of a whole load, and the same rule day by day."""
+    orders = table(spark, d, "orders")
+    days = orders.groupBy(day_text(F.col("o_orderdate")).alias("day")).agg(F.count("*").alias("n_orders"))
+    gates = {"all_arrived": has_more_than(orders, 1000), "too_many": has_more_than(orders, 1_000_000_000)}
+    return days.withColumn("arrived", F.col("n_orders") > 6).withColumns({n: F.lit(x) for n, x in gates.items()})
 
 
 @check(
