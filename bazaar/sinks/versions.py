@@ -39,6 +39,15 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to one that is not there yet."""
+    source, fs = file_system(spark, path)
+    to, _ = file_system(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(source, to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def publish(spark: SparkSession, df: DataFrame, aside: str, folder: str, number: int) -> None:
     """Write rows aside, then rename them to version ``number`` of the folder.
 

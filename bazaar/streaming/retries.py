@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from bazaar.sinks import versions
+
 MESSAGE_SCHEMA = (
     "marketplace string, job_type string, page_type string, start_page int, end_page int, "
     "bucket_name string, base_path string, run_date string, target_table string, "
@@ -76,17 +78,26 @@ def write_routes(stream: DataFrame, column: str, sinks: dict[str, str], checkpoi
     Rows of any other value, or of none, go to ``rest`` (by default the folder
     of the checkpoint's name with ``-rest``), so no row is lost.
 
-    Each micro-batch goes to its own sub-folder, overwritten if the batch is run
-    again after a failure, so a restart repeats no row.
+    Each micro-batch is read and written once, split by sink, and its parts are
+    moved to the sinks, each to a sub-folder of the batch's number. A batch that
+    is run again after a failure replaces them, so a restart repeats no row.
     """
+    folders = [*sinks.values(), rest or checkpoint.rstrip("/") + "-rest"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        for value, path in sinks.items():
-            batch.filter(F.col(column) == value).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        others = batch.filter(~F.coalesce(F.col(column).isin(list(sinks)), F.lit(False)))
-        others.write.mode("overwrite").parquet(f"{rest or checkpoint.rstrip('/') + '-rest'}/batch={batch_id}")
-        batch.unpersist()
+        spark, aside = batch.sparkSession, f"{checkpoint.rstrip('/')}-routed"
+        number = F.lit(len(sinks))
+        for i, value in enumerate(sinks):
+            number = F.when(F.col(column) == value, i).otherwise(number)
+        batch.withColumn("_sink", number).write.mode("overwrite").partitionBy("_sink").parquet(aside)
+        for i, folder in enumerate(folders):
+            part, target = f"{aside}/_sink={i}", f"{folder}/batch={batch_id}"
+            if versions.exists(spark, part):
+                versions.remove(spark, target)
+                versions.move(spark, part, target)
+            else:  # no row went there: an empty folder with the columns, so that it can be read
+                spark.createDataFrame([], batch.schema).write.mode("overwrite").parquet(target)
+        versions.remove(spark, aside)
 
     return (
         stream.writeStream.foreachBatch(write)
