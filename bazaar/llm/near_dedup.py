@@ -20,6 +20,7 @@ frequency, which is scaled to 1..2 and rounded to an eighth of an octave.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from bazaar.llm import kernels
 from bazaar.llm.components import components
-from bazaar.llm.storage import bounded_batches, stored
+from bazaar.llm.storage import bounded_batches, forget, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -278,6 +279,8 @@ def near_duplicates(
     buckets = stored(bands.join(first.drop("n"), ["band", "bucket"]), "buckets")
     stars = buckets.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     compared = stored(_verified(stars, docs, levels), "compared")
+    passing = [bands]  # tables that nothing reads after the links are known
+    _release(spark, passing)
     same = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     links = compared.where(F.col("similarity") >= similarity).select("a", "b")
     roots = components(links)
@@ -288,18 +291,24 @@ def near_duplicates(
     every, high, sampled = links, FINE + 1, None
     for below in (0, _SIGMAS):
         low = int(_expected(FINE, similarity, below))
-        placed = stored(_apart(buckets, far, roots), "apart")
+        near = stored(_placed(buckets, far, roots), "placed")
+        placed = stored(_apart(near), "apart")
         if sampled is None:  # a later pass has no other texts, since components only grow
             ids = stored(placed.select("rep").distinct(), "apart-ids")
             own = reps.withColumnRenamed("id", "rep").join(ids, "rep", "left_semi")
             own = own.groupBy("rep").agg(F.when(F.count("*") == 1, F.first("samples")).alias("samples"))
             sampled = stored(own.join(_fine_samples(docs, ids, levels), "rep", "left"), "sampled")
-        rest = stored(_unlike(placed.join(sampled, "rep"), similarity, low, high).distinct(), "rest")
+            passing += [ids, sampled]
+        others = stored(placed.join(sampled, "rep"), "unlike")
+        rest = stored(_unlike(others, similarity, low, high).distinct(), "rest")
+        passing += [near, placed, others, rest]
         if not rest.isEmpty():
             more = stored(_verified(rest, docs, levels).where(F.col("similarity") >= similarity), "more")
             every = every.union(more.select("a", "b"))
             roots = components(every)
         high = low
+        _release(spark, [])
+    _release(spark, [*passing[1:], signed, buckets])
     roots = components(every.union(same))
     degree = (
         every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
@@ -316,19 +325,30 @@ def near_duplicates(
     )
 
 
+def _release(spark, tables: list[DataFrame]) -> None:
+    """Delete tables, and let Spark delete the shuffle files of plans that are done."""
+    for table in tables:
+        forget(spark, table)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _expected(samples: int, similarity: float, sigmas: float) -> float:
     """Common samples of a pair at the similarity, less some standard deviations."""
     return samples * similarity - sigmas * (samples * similarity * (1 - similarity)) ** 0.5
 
 
-def _apart(buckets: DataFrame, far: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, other than the first, of buckets whose texts are in different components."""
-    placed = (
+def _placed(buckets: DataFrame, far: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets with their component and their distance to the first member."""
+    return (
         buckets.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
         .withColumn("root", F.coalesce("root", "rep"))
         .join(far, ["rep", "head"], "left")
     )
-    placed = stored(placed, "placed")
+
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """Members, other than the first, of buckets whose texts are in different components."""
     heads = placed.where("rep = head").select("band", "bucket", F.col("root").alias("head_root"))
     placed = placed.where("rep <> head").join(heads, ["band", "bucket"])
     split = placed.where("root <> head_root").select("band", "bucket").distinct()
@@ -346,7 +366,6 @@ def _unlike(placed: DataFrame, similarity: float, low: int, high: int) -> DataFr
     that fails in one bucket rules it out in all. The conditions are part of
     the join.
     """
-    placed = stored(placed, "unlike")
     others = placed.where("root <> head_root").select(
         *[F.col(c).alias(f"x_{c}") for c in ("band", "bucket", "rep", "root", "far", "samples", "fine")]
     )
