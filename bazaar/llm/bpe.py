@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 from bazaar.llm import kernels
 
-PART_BYTES = 8_000_000
-CACHED_WORDS = 400_000
+PART_BYTES = 2_000_000
+CACHED_WORDS = 150_000
 #: Fixed values of the byte-level alphabet: bytes that stand for themselves; the others follow from 256 on.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Suffixes that are words of their own.
