@@ -28,7 +28,7 @@ def test_no_cross_join_and_no_row_python(spark, sf, name):
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert ("MapInPandas" in text) == (name in PYTHON_ROWS)
-    assert "SinglePartition" not in text or name in ("load_report", "topk_orders", "table_catalog"), text
+    assert "SinglePartition" not in text or name in ("load_report", "load_observed", "topk_orders", "table_catalog"), text
 
 
 @pytest.mark.parametrize(
