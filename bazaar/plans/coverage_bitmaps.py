@@ -1,10 +1,12 @@
 """Coverage that is kept up: order numbers as mergeable bitmaps per store and day.
 
 The first tables of ``reconcile`` read every order again for each report. Here
-an increment leaves only bitmaps behind (32,768 order numbers in each): which
+an increment leaves only bitmaps behind (64 order numbers in each): which
 orders a store has on a day, and which orders of a marketplace were collected.
 Bitmaps of several increments are joined by OR, and coverage counts the bits
-they share, so neither old orders nor old collections are read again.
+they share, so neither old orders nor old collections are read again. A bitmap
+is one number, since the orders of a store and day lie far apart: each often
+has a bitmap of its own, which must not be larger than the order.
 """
 
 from __future__ import annotations
@@ -18,10 +20,12 @@ _DAY = ["marketplace", "official_store", "order_date"]
 
 
 def _bitmaps(df: DataFrame, keys: list[str], number: str, name: str) -> DataFrame:
+    n = F.col(number).cast("bigint")
+    place = n.bitwiseAND(F.lit(63)).cast("int")
     placed = df.where(F.col(number).isNotNull()).select(
-        *keys, F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("place")
+        *keys, F.shiftright(n, 6).alias("bucket"), F.call_function("shiftleft", F.lit(1).cast("bigint"), place).alias("bit")
     )
-    return placed.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("place").alias(name))
+    return placed.groupBy(*keys, "bucket").agg(F.bit_or("bit").alias(name))
 
 
 def known_bitmaps(latest: DataFrame, number: str = "customer_ref") -> DataFrame:
@@ -48,15 +52,13 @@ def coverage_of(known: DataFrame, collected: DataFrame) -> DataFrame:
 
     Each side may hold a bucket several times; the order of loads does not matter.
     """
-    merged = known.groupBy(*_DAY, "bucket").agg(F.bitmap_or_agg("known").alias("known"))
-    every = collected.groupBy("marketplace", "bucket").agg(F.bitmap_or_agg("collected").alias("collected"))
+    merged = known.groupBy(*_DAY, "bucket").agg(F.bit_or("known").alias("known"))
+    every = collected.groupBy("marketplace", "bucket").agg(F.bit_or("collected").alias("collected"))
     both = merged.join(every, ["marketplace", "bucket"], "left")
-    pair = F.explode(F.array(F.col("known"), F.col("collected"))).alias("bits")
-    shared = both.where(F.col("collected").isNotNull()).select(*_DAY, "bucket", pair)
-    found = shared.groupBy(*_DAY, "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("found"))
-    counted = merged.select(*_DAY, F.bitmap_count("known").alias("n"), F.lit(0).cast("bigint").alias("found"))
-    counted = counted.union(found.select(*_DAY, F.lit(0).cast("bigint"), "found"))
-    summed = counted.groupBy(*_DAY).agg(F.sum("n").alias("total_internal_order"), F.sum("found").alias("count_order_type"))
+    shared = F.coalesce(F.bit_count(F.col("known").bitwiseAND(F.col("collected"))), F.lit(0))
+    summed = both.groupBy(*_DAY).agg(
+        F.sum(F.bit_count("known")).alias("total_internal_order"), F.sum(shared).alias("count_order_type")
+    )
     return summed.withColumns(
         {
             "data_type": F.lit("total_collected_order"),

@@ -50,3 +50,17 @@ def test_increments_in_any_order(spark, tmp_path):
     got = B.read_coverage(spark, path).select("marketplace", "official_store", "order_date", "total_internal_order", "count_order_type")
     assert rows(got) == rows(want)
     assert all("/load=" in f for f in got.inputFiles())
+
+
+def test_bitmaps_of_orders_far_apart_stay_small(spark, tmp_path):
+    """Each order has a bitmap of its own here, which is no larger than the order."""
+    latest = spark.range(0, 4_000_000_000, 100_000_000).selectExpr(
+        "id - 2000000000 AS customer_ref", "'m' AS marketplace", "'s' AS official_store", "cast(id % 3 AS string) AS order_date"
+    )
+    path = str(tmp_path / "c")
+    B.add_increment(latest, latest.where("customer_ref > 0"), path, "0")
+    for side in ("known", "collected"):
+        stored = spark.read.parquet(f"{path}/{side}")
+        assert stored.agg(F.max(F.length(F.to_json(F.struct(side))))).first()[0] < 100
+    total = B.read_coverage(spark, path).agg(F.sum("total_internal_order"), F.sum("count_order_type")).first()
+    assert tuple(total) == (40, 19)
