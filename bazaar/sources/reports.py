@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from bazaar.sources.records import read_records, record_cells
 
 
+#: Tasks that a file's rows are dealt to where its header is joined to them.
+_SPREAD = 16
+
+
 def _open_quotes(spark: SparkSession, paths: list[str] | str) -> bool:
     """Whether any physical line leaves a quote open, so records span lines."""
     lines = spark.read.text(paths)
@@ -49,7 +53,14 @@ def read_report_csv(
     laid = headers.select("of", F.when(differs, F.raise_error(said)).otherwise(F.array(*places)).alias("places"))
     body = grid.where(F.col("row_no") > 0)
     cell = lambda i: F.get("cells", F.get("places", F.lit(i)).cast("int") - 1)
-    return body.join(laid, F.col("path") == F.col("of")).select(*[cell(i).alias(name) for i, name in enumerate(names)])
+    rows = _with_headers(body, laid, F.col("path") == F.col("of"), "inner")
+    return rows.select(*[cell(i).alias(name) for i, name in enumerate(names)])
+
+
+def _with_headers(body: DataFrame, laid: DataFrame, same: Column, how: str) -> DataFrame:
+    """Body rows with what ``laid`` says of their file; the rows of a file meet it in several places, so no task gets a file whole."""
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SPREAD - 1).cast("bigint")))
+    return body.join(laid.withColumn("of_part", part), same & (F.pmod("row_no", F.lit(_SPREAD)) == F.col("of_part")), how)
 
 
 def _first_cells(spark: SparkSession, paths: list[str] | str, sep: str) -> list[str | None]:
@@ -181,7 +192,7 @@ def table_by_header(
     body = grid.where(F.col("row_no") >= data_row)
     same = (F.col("path") == F.col("of")) & F.col("sheet").eqNullSafe(F.col("of_sheet"))
     lost = F.concat(F.lit("report "), "path", F.lit(f" has no header at row {header_row}"))
-    rows = body.join(laid, same, "left").withColumn("places", F.when(F.col("of").isNull(), F.raise_error(lost)).otherwise(F.col("places")))
+    rows = _with_headers(body, laid, same, "left").withColumn("places", F.when(F.col("of").isNull(), F.raise_error(lost)).otherwise(F.col("places")))
 
     def cell(i: int) -> Column:
         own = F.col(f"places.p{i}")
@@ -210,7 +221,7 @@ def table_by_place(
     laid = laid.select("of", "of_sheet", F.when(fits, F.col("width")).otherwise(F.raise_error(said).cast("int")).alias("width"))
     same = (F.col("path") == F.col("of")) & F.col("sheet").eqNullSafe(F.col("of_sheet"))
     lost = F.raise_error(F.concat(F.lit("report "), "path", F.lit(f" has no header at row {header_row}"))).cast("int")
-    body = grid.where(F.col("row_no") >= data_row).join(laid, same, "left")
+    body = _with_headers(grid.where(F.col("row_no") >= data_row), laid, same, "left")
     body = body.withColumn("width", F.when(F.col("of").isNull(), lost).otherwise(F.col("width")))
 
     def cell(name: str) -> Column:

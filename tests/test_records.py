@@ -143,3 +143,25 @@ def test_csv_columns_by_name_and_refusals(spark, tmp_path):
     )
     with pytest.raises(Exception, match="lacks y"):
         refused.collect()
+
+
+def test_no_task_joins_a_file_whole(spark, tmp_path):
+    """Rows of one file meet its header in several tasks, whatever way the join is done."""
+    put(tmp_path, "a.csv", "id,t\n" + "".join(f'{i},"x\ny"\n' for i in range(400)))
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        preamble = reports.read_preamble_grid(spark, str(tmp_path))
+        for df in (
+            reports.read_report_csv(spark, str(tmp_path)),
+            reports.table_by_header(preamble, 0, 1, ["id", "t"], keep=()),
+            reports.table_by_place(preamble, 0, 1, [["id", "t"]], keep=()),
+        ):
+            dealt = [r.n for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+            assert sum(dealt) == 400 and len(dealt) > 1 and max(dealt) < 300
+            assert {(r.id, r.t) for r in df.collect()} == {(str(i), "x\ny") for i in range(400)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
