@@ -9,6 +9,7 @@ after its last failure, so state does not grow for ever.
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
@@ -22,45 +23,94 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 _AT = "_failed_micros"
 
 
+#: Counted ids in a page of an item's state; an item of fewer holds them with its counter.
+PAGE = 256
+
+
 class _RetryCounter(StatefulProcessor):
-    """Counts the failures of one work item since it was last forgotten."""
+    """Counts the failures of one work item since it was last forgotten.
+
+    An item is read and written once a batch, whatever its failures: every call
+    to the state store is a round trip. Ids beyond a page lie in pages by their
+    hash, of which a batch reads and writes those that it needs.
+    """
 
     def __init__(self, columns: list[str], max_retries: int, expiry: dt.timedelta):
         self.columns, self.max_retries = columns, max_retries
         self.expiry = expiry // dt.timedelta(microseconds=1)
+        self.page = PAGE
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n int, last bigint")
-        self.seen = handle.getMapState("seen", "failure_id string", "at bigint")
+        self.item = handle.getValueState("item", "n int, last bigint, due bigint, ids array<string>")
+        self.more = handle.getMapState("more", "page int", "ids array<string>")
+        self.row = Row(*self.columns, "retry_count", "route")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        n, last = (0, None) if not self.count.exists() else self.count.get()
-        before = last
+        n, last, due, ids = self.item.get() or (0, None, None, [])
+        before, paged = n, self._pages(n) > 1
+        pages, dirty = {} if paged else {0: set(ids)}, set()
         for row in sorted(rows, key=lambda r: (r[_AT], r.failure_id)):
             at = row[_AT]
             if last is not None and at - last > self.expiry:
-                n = 0
-                self.seen.clear()
-            elif self.seen.containsKey((row.failure_id,)):
+                n, before, pages, dirty = 0, -1, {0: set()}, set()
+                if paged:
+                    self.more.clear()
+                    paged = False
+            page = self._page(pages, row.failure_id, n)
+            if row.failure_id in page[1]:
                 continue
+            page[1].add(row.failure_id)
+            dirty.add(page[0])
+            if self._pages(n + 1) > self._pages(n):
+                every = set().union(*[self._load(pages, p) for p in range(self._pages(n))])
+                pages, dirty = {p: set() for p in range(self._pages(n + 1))}, set(range(self._pages(n + 1)))
+                for one in every:
+                    pages[self._place(one, n + 1)].add(one)
             n += 1
             last = at if last is None else max(last, at)
-            self.seen.updateValue((row.failure_id,), (at,))
-            yield Row(**{c: row[c] for c in self.columns}, retry_count=n, route="retry" if n <= self.max_retries else "dead")
-        if last is not None and last != before:
-            self.count.update((n, last))
-            if before is not None:
-                self.handle.deleteTimer(self._due(before))
-            self.handle.registerTimer(self._due(last))
+            yield self.row(*[row[c] for c in self.columns], n, "retry" if n <= self.max_retries else "dead")
+        if n != before:
+            if due is None:
+                due = self._due(last)
+                self.handle.registerTimer(due)
+            whole = self._pages(n) == 1
+            self.item.update((n, last, due, list(pages[0]) if whole else []))
+            for p in [] if whole else dirty:
+                self.more.updateValue((p,), (list(pages[p]),))
+
+    def _pages(self, n: int) -> int:
+        """In how many pages the ids of n failures lie: a power of two."""
+        return 1 << (n // self.page).bit_length()
+
+    def _place(self, failure_id: str, n: int) -> int:
+        """The page of an id among those of n failures."""
+        return zlib.crc32(failure_id.encode()) & (self._pages(n) - 1)
+
+    def _page(self, pages: dict[int, set], failure_id: str, n: int) -> tuple[int, set]:
+        p = self._place(failure_id, n)
+        return p, self._load(pages, p)
+
+    def _load(self, pages: dict[int, set], p: int) -> set:
+        if p not in pages:
+            pages[p] = set(self.more.getValue((p,))[0]) if self.more.containsKey((p,)) else set()
+        return pages[p]
 
     def _due(self, last: int) -> int:
         """Milliseconds from which the item is forgotten."""
         return (last + self.expiry) // 1000 + 1
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.count.clear()
-        self.seen.clear()
+        """Forgets the item, or waits on if it failed again since its timer was set."""
+        n, last, _, ids = self.item.get()
+        due = self._due(last)
+        if due > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(due)
+            self.item.update((n, last, due, ids))
+        else:
+            self.item.clear()
+            if self._pages(n) > 1:
+                self.more.clear()
         return iter(())
 
     def close(self) -> None:

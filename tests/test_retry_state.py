@@ -56,3 +56,50 @@ def test_batch_counts(spark):
     got = R.count_retries_batch(spark.createDataFrame(data, SCHEMA), ["item"], HOUR, max_retries=2)
     assert got.where("item = 'a'").agg(F.max("retry_count")).first()[0] == 6
     assert got.where("route = 'retry'").count() == 3 and got.count() == 7
+
+
+def test_many_failures_of_one_item(spark, tmp_path, monkeypatch):
+    """Ids that lie in pages are found again, in the same batch and in later ones, until a pause."""
+    monkeypatch.setattr(R, "PAGE", 4)
+    arrivals = [[("a", f"{n // 2}", n // 2) for n in range(2 * first, 2 * (first + 25))] for first in (0, 20, 40)]
+    arrivals.append([("a", "3", 65), ("b", "3", 65), ("a", "3", 200), ("a", "4", 201)])
+    got = {(r.item, r.failure_id, r.failed_at): r.retry_count for r in run(spark, tmp_path, arrivals).collect()}
+    want = {("a", str(n), at(n)): n + 1 for n in range(65)} | {("b", "3", at(65)): 1, ("a", "3", at(200)): 1, ("a", "4", at(201)): 2}
+    assert got == want
+
+
+class Calls:
+    """State of one item that counts the calls to it."""
+
+    def __init__(self):
+        self.value, self.pages, self.n = None, {}, 0
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.n += 1
+            if name in ("getValueState", "getMapState"):
+                return self
+            if name == "update":
+                self.value = given[0]
+            if name == "updateValue":
+                self.pages[given[0]] = given[1]
+            if name == "clear":
+                self.pages = {}
+            if name in ("containsKey", "getValue"):
+                return self.pages.get(given[0]) if name == "getValue" else given[0] in self.pages
+            return self.value is not None if name == "exists" else self.value
+
+        return call
+
+
+def test_calls_to_the_state_do_not_grow_with_the_rows():
+    from pyspark.sql import Row
+
+    counter, state = R._RetryCounter(["failure_id"], 3, HOUR), Calls()
+    counter.init(state)
+    for batch in range(3):
+        state.n = 0
+        rows = [Row(failure_id=str(i), **{R._AT: i}) for i in range(batch * 50, batch * 50 + 50)]
+        found = list(counter.handleInputRows(("a",), iter([*rows, *rows]), None))
+        assert [r.retry_count for r in found] == list(range(batch * 50 + 1, batch * 50 + 51))
+        assert state.n <= 5
