@@ -29,15 +29,17 @@ def workbook(sheets: dict[str, list[list]]) -> bytes:
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     listed = links = ""
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as book:
         for n, (name, rows) in enumerate(sheets.items(), 1):
             listed += f'<sheet name="{escape(name)}" sheetId="{n}" r:id="rId{n}"/>'
             links += f'<Relationship Id="rId{n}" Type="{rel}/worksheet" Target="worksheets/sheet{n}.xml"/>'
             body = "".join(
                 "<row>"
                 + "".join(
-                    "<c/>" if cell is None else f'<c t="inlineStr"><is><t>{escape(str(cell))}</t></is></c>'
-                    for cell in row
+                    [
+                        "<c/>" if cell is None else f'<c t="inlineStr"><is><t>{escape(str(cell))}</t></is></c>'
+                        for cell in row
+                    ]
                 )
                 + "</row>"
                 for row in rows
@@ -51,6 +53,14 @@ def workbook(sheets: dict[str, list[list]]) -> bytes:
     return out.getvalue()
 
 
+def _cells(column: pd.Series) -> list:
+    """Values of a column, None where there is none."""
+    lost = column.isna()
+    if lost.all():
+        return [None] * len(column)
+    return column.astype(object).where(~lost, None).tolist()
+
+
 def workbooks(df: DataFrame, preamble: list[list], sheet: str) -> DataFrame:
     """(path, content): one workbook per Arrow batch of rows, with a second, other sheet."""
     header = list(df.columns)
@@ -59,7 +69,7 @@ def workbooks(df: DataFrame, preamble: list[list], sheet: str) -> DataFrame:
     def books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                rows = batch.astype(object).where(batch.notna(), None).values.tolist()
+                rows = zip(*[_cells(batch[name]) for name in header], strict=True)
                 content = workbook({"Ringkasan": [["lain"]], sheet: [*preamble, header, *rows]})
                 yield pd.DataFrame({"path": [f"book-{batch[key].iloc[0]}.xlsx"], "content": [content]})
 

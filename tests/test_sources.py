@@ -1,6 +1,7 @@
 import io
 import os
 import zipfile
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,68 @@ def test_one_parse_gives_header_period_and_body(spark, tmp_path, monkeypatch):
     for bad, why in ((W.SheetRule("Tiga", 0, (), resolve), "no sheet Tiga"), (W.SheetRule("Satu", 9, ("k",), resolve, data_row=0), "no header at row 9")):
         with pytest.raises(Exception, match=f"refused: it has {why}"):
             W.sheet_rows(W.workbook_files(spark, str(tmp_path)), {"r": bad}).collect()
+
+
+def sheet(*rows, head="", tail="", attributes=""):
+    """A sheet's text and a workbook that holds it."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    text = f'<?xml version="1.0"?><worksheet {main} {attributes}>{head}<sheetData>{"".join(rows)}</sheetData>{tail}</worksheet>'
+    out = io.BytesIO(workbook({"S": []}))
+    with zipfile.ZipFile(out) as book, zipfile.ZipFile(made := io.BytesIO(), "w") as new:
+        for name in book.namelist():
+            new.writestr(name, text if name.endswith("sheet1.xml") else book.read(name))
+    return made
+
+
+PLAIN = [
+    '<row/><row r="3" spans="1:3"><c r="B3" s="1" t="s"><v>1</v></c><c r="D3"/></row>',
+    '<row><c t="inlineStr"><is><t>a &lt;&amp;amp; b\r\nc</t></is></c><c/><c><v>1.5</v></c><c t="b"><v>1</v></c><c t="e"><v>#N/A</v></c></row>',
+    '<row></row><row r="9"/><row><c t="inlineStr"/><c t="str"><v></v></c><c t="inlineStr"><is><t xml:space="preserve"> é&#10;x</t></is></c></row><row/>',
+]
+ODD = [
+    '<row><c t="inlineStr"><is><r><t>ri</t></r><r><t>ch</t></r></is></c></row>',
+    "<row><c><f>1+1</f><v>2</v></c></row>",
+    "<row><!-- <row> </row> --><c><v>3</v></c></row>",
+    '<row><c t="inlineStr"><is><t><![CDATA[</row><c/>]]></t></is></c></row>',
+    "<row>\n <c><v>4</v></c>\n</row>",
+    '<row><c t="inlineStr"><is><t>&#x41;</t></is></c></row>',
+]
+
+
+@pytest.mark.parametrize("rows", [PLAIN, [], [*PLAIN, ODD[0], *PLAIN], *[[PLAIN[1], odd, PLAIN[2]] for odd in ODD], PLAIN * 3000])
+def test_rows_cut_from_the_text_are_those_of_the_xml_reader(rows):
+    from bazaar.sources import workbooks as W
+
+    shared = ["x", "y"]
+    with zipfile.ZipFile(sheet(*rows, head="<cols><col/></cols>", tail='<pageMargins left="1"/>')) as book:
+        part = "xl/worksheets/sheet1.xml"
+        want = list(W._element_rows(book, part, shared, set(), False))
+        assert list(W._sheet_rows(book, part, shared)) == want
+        if not any(odd in rows for odd in ODD):
+            assert list(W._plain_rows(book, part, shared, set(), False)) == want
+
+
+def test_plain_rows_take_no_elements(monkeypatch):
+    """The XML reader, which costs several times more for a cell, sees only what stands around plain rows."""
+    from bazaar.sources import workbooks as W
+
+    monkeypatch.setattr(W, "_element_rows", None)
+    with zipfile.ZipFile(sheet(*PLAIN)) as book:
+        assert len(list(W._sheet_rows(book, "xl/worksheets/sheet1.xml", ["x", "y"]))) == 7
+
+
+@pytest.mark.parametrize("rows", [["<row><c><v>1</v></c>"], ["<row><c><v>&no;</v></c></row>"], ["<row><c><v>\x01</v></c></row>"], [*PLAIN, "</x>"]])
+def test_broken_sheets_fail(rows):
+    from bazaar.sources import workbooks as W
+
+    with zipfile.ZipFile(sheet(*rows)) as book, pytest.raises(ElementTree.ParseError):
+        list(W._sheet_rows(book, "xl/worksheets/sheet1.xml", ["x", "y"]))
+
+
+def test_a_column_that_the_header_lacks_is_empty():
+    from bazaar.sources import workbooks as W
+
+    content = workbook({"S": [["a", "b", "c"], ["1", "2", "3"], ["4"]]})
+    rule = W.SheetRule("S", 0, ("b", "x", "a"), lambda header: [[header.index(n)] if n in header else [] for n in ("b", "x", "a")])
+    (found,) = W._ruled_batches("p", content, {"r": rule})
+    assert found.column("values").to_pylist() == [["2", None, "1"], [None, None, "4"]]
