@@ -20,7 +20,6 @@ frequency, which is scaled to 1..2 and rounded to an eighth of an octave.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from bazaar.llm import kernels
 from bazaar.llm.components import components
-from bazaar.llm.storage import bounded_batches, forget, stored
+from bazaar.llm.storage import bounded_batches, release, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -279,8 +278,7 @@ def near_duplicates(
     buckets = stored(bands.join(first.drop("n"), ["band", "bucket"]), "buckets")
     stars = buckets.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     compared = stored(_verified(stars, docs, levels), "compared")
-    passing = [bands]  # tables that nothing reads after the links are known
-    _release(spark, passing)
+    release(spark, bands)
     same = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     links = compared.where(F.col("similarity") >= similarity).select("a", "b")
     roots = components(links)
@@ -298,17 +296,16 @@ def near_duplicates(
             own = reps.withColumnRenamed("id", "rep").join(ids, "rep", "left_semi")
             own = own.groupBy("rep").agg(F.when(F.count("*") == 1, F.first("samples")).alias("samples"))
             sampled = stored(own.join(_fine_samples(docs, ids, levels), "rep", "left"), "sampled")
-            passing += [ids, sampled]
         others = stored(placed.join(sampled, "rep"), "unlike")
         rest = stored(_unlike(others, similarity, low, high).distinct(), "rest")
-        passing += [near, placed, others, rest]
+        release(spark, near, placed, others)
         if not rest.isEmpty():
             more = stored(_verified(rest, docs, levels).where(F.col("similarity") >= similarity), "more")
             every = every.union(more.select("a", "b"))
+            release(spark, rest, roots)
             roots = components(every)
         high = low
-        _release(spark, [])
-    _release(spark, [*passing[1:], signed, buckets])
+    release(spark, ids, sampled, signed, buckets, roots)
     roots = components(every.union(same))
     degree = (
         every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
@@ -325,14 +322,6 @@ def near_duplicates(
     )
 
 
-def _release(spark, tables: list[DataFrame]) -> None:
-    """Delete tables, and let Spark delete the shuffle files of plans that are done."""
-    for table in tables:
-        forget(spark, table)
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _expected(samples: int, similarity: float, sigmas: float) -> float:
     """Common samples of a pair at the similarity, less some standard deviations."""
     return samples * similarity - sigmas * (samples * similarity * (1 - similarity)) ** 0.5
@@ -410,6 +399,7 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, id_column: str
     dropped = classes.where("class_id <> doc_id").select(F.col("doc_id").alias(own), F.lit(True).alias(gone))
     repeated = docs.select(key).groupBy(own).agg(F.count("*").alias(twice)).where(F.col(own).isNotNull() & (F.col(twice) > 1))
     marks = stored(dropped.join(repeated.withColumn(twice, F.lit(True)), own, "full"), "marks")
+    release(docs.sparkSession)
     rows = docs.select("*", key).join(marks, own, "left").where(F.col(gone).isNull())
     once = rows.where(F.col(twice).isNull())
     more = rows.where(F.col(twice)).dropDuplicates([own])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.session import work_folder
@@ -32,3 +35,18 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
     for name in df.inputFiles()[:1]:
         path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables that no later plan reads, and have Spark delete the shuffle files of plans that are done.
+
+    Spark deletes them when the driver's JVM finds them unused. Python gives its
+    references up in a thread of its own, so one collection may come too early
+    for the latest plans; the second finds them.
+    """
+    for table in tables:
+        forget(spark, table)
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.1)
+        spark._jvm.System.gc()
